@@ -4,7 +4,7 @@ import importlib
 
 from tablework.workload.registry import all_queries, all_sql
 
-for _module in ("relational",):
+for _module in ("relational", "joins", "aggregates"):
     importlib.import_module(f"tablework.workload.{_module}")
 
 __all__ = ["all_queries", "all_sql"]

@@ -478,7 +478,7 @@ def f_string(fx: Fixtures) -> DataFrame:
 
 @query(
     "f_math",
-    """SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 2) AS net, CAST(l_orderkey % 7 AS INT) AS m,
+    """SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 6) AS net, CAST(l_orderkey % 7 AS INT) AS m,
       l_quantity / nullif(l_tax, 0) AS q, round(ln(l_extendedprice), 9) AS logp, round(exp(l_discount), 9) AS expd,
       format('{:,.0f}', l_extendedprice) AS text FROM lineitem""",
 )
@@ -487,7 +487,7 @@ def f_math(fx: Fixtures) -> DataFrame:
     return fx.table("lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        F.round(price * (1 - F.col("l_discount")), 2).alias("net"),
+        F.round(price * (1 - F.col("l_discount")), 6).alias("net"),
         F.expr("CAST(mod(l_orderkey, 7) AS INT)").alias("m"),
         X.ratio("l_quantity", "l_tax").alias("q"),
         F.round(F.ln(price), 9).alias("logp"),
