@@ -8,6 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Text writers cut times to milliseconds unless told otherwise.
+TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def balanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
     """Bring the rows of one output partition together, in files of the advisory size.
@@ -108,5 +114,10 @@ def get_watermark(spark: SparkSession, name: str, table: str, default: int = -1)
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a result as CSV with a header; every task writes its own part."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**TIME_FORMATS).csv(path)
+    return path
+
+
+def export_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    df.write.mode(mode).options(**TIME_FORMATS).json(path)
     return path

@@ -47,14 +47,14 @@ def a03(fx: Fixtures) -> DataFrame:
     """WITH e AS (SELECT CAST(forecast_date AS DATE) AS d, median(euros_per_mwh) AS m, avg(euros_per_mwh) AS a FROM electricity_prices GROUP BY 1),
       g AS (SELECT forecast_date AS d, median(lowest_price_per_mwh) AS lm, avg(lowest_price_per_mwh) AS la,
         median(highest_price_per_mwh) AS hm, avg(highest_price_per_mwh) AS ha FROM gas_prices GROUP BY 1)
-      SELECT coalesce(e.d, g.d) AS forecast_date, round(m, 9) AS electricity_price_per_mwh_median, round(a, 9) AS electricity_price_per_mwh_average,
-        round(lm, 9) AS gas_lowest_price_per_mwh_median, round(la, 9) AS gas_lowest_price_per_mwh_average,
-        round(hm, 9) AS gas_highest_price_per_mwh_median, round(ha, 9) AS gas_highest_price_per_mwh_average
+      SELECT coalesce(e.d, g.d) AS forecast_date, round(m, 11) AS electricity_price_per_mwh_median, round(a, 11) AS electricity_price_per_mwh_average,
+        round(lm, 11) AS gas_lowest_price_per_mwh_median, round(la, 11) AS gas_lowest_price_per_mwh_average,
+        round(hm, 11) AS gas_highest_price_per_mwh_median, round(ha, 11) AS gas_highest_price_per_mwh_average
       FROM e FULL OUTER JOIN g ON e.d = g.d""",
     ("electricity_prices", "gas_prices"),
 )
 def a04(fx: Fixtures) -> DataFrame:
-    return rounded(A.energy_prices_daily(fx.electricity_prices(), fx.gas_prices()), 9)
+    return rounded(A.energy_prices_daily(fx.electricity_prices(), fx.gas_prices()), 11)
 
 
 @query(

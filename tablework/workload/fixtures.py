@@ -41,7 +41,7 @@ class Fixtures:
         return (
             self.table("events")
             .groupBy(hour.alias("forecast_date"))
-            .agg(F.round(F.avg("value"), 9).alias("euros_per_mwh"))
+            .agg(F.round(F.avg("value"), 7).alias("euros_per_mwh"))
             .select(
                 "forecast_date",
                 "euros_per_mwh",
@@ -189,7 +189,7 @@ DUCK_VIEWS = {
           CASE WHEN event_id % 97 <> 0 THEN value END AS target, ts AS datetime,
           CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INT) AS data_block_id FROM events""",
     "electricity_prices": """
-        SELECT date_trunc('hour', ts) AS forecast_date, round(avg(value), 9) AS euros_per_mwh,
+        SELECT date_trunc('hour', ts) AS forecast_date, round(avg(value), 7) AS euros_per_mwh,
           date_trunc('hour', ts) - INTERVAL 1 DAY AS origin_date,
           CAST(date_diff('day', DATE '2024-01-01', CAST(min(ts) AS DATE)) AS INT) AS data_block_id
         FROM events GROUP BY date_trunc('hour', ts)""",
