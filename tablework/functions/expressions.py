@@ -83,6 +83,14 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(as_col(num), as_col(den))
 
 
+def correlation(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation over rows that have both values; null (not an error) when one of them is constant."""
+    x, y = as_col(a).cast("double"), as_col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.sqrt(F.var_pop(F.when(both, x))) * F.sqrt(F.var_pop(F.when(both, y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def years_since(year: str | Column, today: Column) -> Column:
     return F.year(today) - as_col(year)
 

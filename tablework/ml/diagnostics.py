@@ -156,31 +156,34 @@ def boxcox_profile(
 ) -> DataFrame:
     """Profile log-likelihood of the power transform of the label, for all lambdas in one pass.
 
-    The label is divided by its geometric mean first, which keeps the powers near one.
+    The label is divided by its geometric mean first, which keeps the powers near one. Every row
+    meets the fixed list of lambdas and is added up per lambda before the shuffle.
     """
     lambdas = [round(-1 + 0.05 * i, 2) for i in range(41)] if lambdas is None else list(lambdas)
     cols = list(features)
     data = df.select(F.col(label).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in cols])
     data = data.na.drop("any").where(F.col("_y") > 0)
-    scaled = data.withColumn("_y", F.col("_y") / F.exp(data.agg(F.avg(F.ln("_y")).alias("g")).scalar()))
-
-    def power(lam: float):
-        return F.ln("_y") if lam == 0 else (F.pow("_y", F.lit(float(lam))) - 1) / lam
-
-    wide = scaled.select(*cols, *[power(x).alias(f"_z{i}") for i, x in enumerate(lambdas)])
-    row = wide.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.covar_pop(a, b).alias(f"_x{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j],
-        *[F.var_pop(f"_z{i}").alias(f"_v{i}") for i in range(len(lambdas))],
-        *[F.covar_pop(c, f"_z{i}").alias(f"_c{j}_{i}") for j, c in enumerate(cols) for i in range(len(lambdas))],
-    ).first()
-    k, n = len(cols), row["_n"]
-    sxx = np.array([[row[f"_x{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]).reshape(k, k)
+    mean_log = data.agg(F.avg(F.ln("_y")).alias("g")).scalar()
+    grid = F.explode(F.array(*[F.lit(float(x)) for x in lambdas])).alias("lambda")
+    rows = data.withColumn("_y", F.col("_y") / F.exp(mean_log)).select("*", grid)
+    lam = F.col("lambda")
+    z = F.when(lam == 0, F.ln("_y")).otherwise(F.try_divide(F.pow("_y", lam) - 1, lam))
+    sums = (
+        rows.withColumn("_z", z)
+        .groupBy("lambda")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.var_pop("_z").alias("_v"),
+            *[F.covar_pop(c, "_z").alias(f"_c{i}") for i, c in enumerate(cols)],
+        )
+        .collect()  # one row per lambda
+    )
+    _, sxx = moments(data, cols).pick(cols) if cols else (None, np.zeros((0, 0)))
     out = []
-    for i, lam in enumerate(lambdas):
-        sxy = np.array([row[f"_c{j}_{i}"] for j in range(k)])
-        rss = n * (row[f"_v{i}"] - (float(sxy @ np.linalg.solve(sxx, sxy)) if k else 0.0))
-        out.append((float(lam), float(-n / 2 * math.log(rss / n))))
+    for row in sorted(sums, key=lambda r: r["lambda"]):
+        sxy = np.array([row[f"_c{i}"] for i in range(len(cols))])
+        rss = row["_n"] * (row["_v"] - (float(sxy @ np.linalg.solve(sxx, sxy)) if cols else 0.0))
+        out.append((row["lambda"], float(-row["_n"] / 2 * math.log(rss / row["_n"]))))
     return df.sparkSession.createDataFrame(out, "lambda double, log_likelihood double")
 
 

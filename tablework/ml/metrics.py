@@ -6,6 +6,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablework.functions.expressions import correlation
+
 
 def residuals(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     return df.withColumn("difference", F.col(prediction) - F.col(label))
@@ -58,7 +60,7 @@ def compare_models(predictions: DataFrame, actual: str, models: list[str], expon
     def value(m: str):
         return F.exp(m) if exponentiate else F.col(m)
 
-    one = predictions.agg(*[F.corr(value(m), F.col(actual)).alias(f"_c{i}") for i, m in enumerate(models)])
+    one = predictions.agg(*[correlation(value(m), actual).alias(f"_c{i}") for i, m in enumerate(models)])
     items = [
         F.struct(F.lit(m).alias("model_name"), (F.col(f"_c{i}") * F.col(f"_c{i}")).alias("r_squared"))
         for i, m in enumerate(models)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     DecisionTreeRegressor,
@@ -148,12 +148,20 @@ def tree(df: DataFrame, label: str, features: Sequence[str], depth: int = 5) ->
 
 
 def spatial_clusters(df: DataFrame, cols: Sequence[str], k: int = 10, seed: int = 42, bisecting: bool = True) -> DataFrame:
-    """Assign ``cluster`` on scaled coordinates.
+    """Assign ``cluster`` on coordinates scaled by their deviation.
 
-    A full distance matrix is quadratic, so the hierarchy is built from the top by bisection.
+    A full distance matrix is quadratic, so the hierarchy is built from the top by bisection. The
+    scale starts at the minimum instead of being centred: the bisection places its first two centres
+    relative to the length of the mean, which would be zero.
     """
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_raw").transform(df)
-    scaled = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True).fit(vec).transform(vec)
+    stats = df.agg(
+        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)], *[F.stddev_samp(c).alias(f"sd{i}") for i, c in enumerate(cols)]
+    ).first()
+    scaled = df.withColumns(
+        {f"_s{i}": (F.col(c) - F.lit(stats[f"lo{i}"])) / F.lit(stats[f"sd{i}"] or 1.0) for i, c in enumerate(cols)}
+    )
+    names = [f"_s{i}" for i in range(len(cols))]
+    data = VectorAssembler(inputCols=names, outputCol="_scaled").transform(scaled)
     algo = BisectingKMeans if bisecting else KMeans
-    model = algo(k=k, seed=seed, featuresCol="_scaled", predictionCol="cluster").fit(scaled)
-    return model.transform(scaled).drop("_raw", "_scaled")
+    model = algo(k=k, seed=seed, featuresCol="_scaled", predictionCol="cluster").fit(data)
+    return model.transform(data).drop("_scaled", *names)

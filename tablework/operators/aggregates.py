@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.expressions import as_col, format_pattern, late_flag
+from tablework.functions.expressions import as_col, correlation, format_pattern, late_flag
 from tablework.operators.joins import full_outer_by_key, with_total
 from tablework.operators.quantiles import exact_medians, exact_quantiles
 
@@ -229,28 +229,28 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def density(
     df: DataFrame, col: str, points: Sequence[float], bandwidth: float, below: float | None = None
 ) -> DataFrame:
-    """Gaussian density of a column at the given points, in one aggregate over value counts."""
-    data = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    """Gaussian density of a column at the given points.
+
+    Rows shrink to value counts first; each value then meets the fixed list of points and is added
+    up per point before the shuffle.
+    """
+    data = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     if below is not None:
-        data = data.where(F.col("x") < below)
-    counts = data.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    norm = 1.0 / (bandwidth * math.sqrt(2.0 * math.pi))
-    sums = [
-        F.sum(F.col("w") * F.exp(-0.5 * ((F.col("x") - float(p)) / bandwidth) * ((F.col("x") - float(p)) / bandwidth))).alias(f"_p{i}")
-        for i, p in enumerate(points)
-    ]
-    one = counts.agg(F.sum("w").alias("_n"), *sums)
-    items = [
-        F.struct(F.lit(float(p)).alias("x"), F.try_divide(F.col(f"_p{i}") * norm, F.col("_n")).alias("density"))
-        for i, p in enumerate(points)
-    ]
-    return one.select(F.explode(F.array(*items)).alias("r")).select("r.*")
+        data = data.where(F.col("v") < below)
+    counts = data.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
+    z = (F.col("v") - F.col("x")) / bandwidth
+    norm = bandwidth * math.sqrt(2.0 * math.pi)
+    return (
+        counts.select("v", "w", F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("x"))
+        .groupBy("x")
+        .agg((F.sum(F.col("w") * F.exp(-0.5 * z * z)) / (F.sum("w") * norm)).alias("density"))
+    )
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlations of all column pairs (a <= b) in one pass."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[correlation(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
     items = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)
     ]

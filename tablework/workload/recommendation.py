@@ -21,10 +21,16 @@ SETS = f"""{LIKED},
   s1 AS (SELECT Movie_ID AS a, count(*) AS freq FROM l GROUP BY 1 HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n))),
   s2 AS (SELECT x.Movie_ID AS a, y.Movie_ID AS b, count(*) AS freq FROM l x JOIN l y ON x.User_ID = y.User_ID AND x.Movie_ID < y.Movie_ID
     GROUP BY 1, 2 HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n))),
-  pairs AS (SELECT a, b, freq FROM s2 UNION ALL SELECT b, a, freq FROM s2),
-  rules AS (SELECT p.a AS antecedent, p.b AS consequent, p.freq / x.freq AS confidence,
+  s3 AS (SELECT s2.a AS a, s2.b AS b, z.Movie_ID AS c, count(*) AS freq FROM s2 JOIN l x ON x.Movie_ID = s2.a
+    JOIN l y ON y.User_ID = x.User_ID AND y.Movie_ID = s2.b JOIN l z ON z.User_ID = x.User_ID AND z.Movie_ID > s2.b
+    GROUP BY 1, 2, 3 HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n))),
+  cand AS (SELECT a AS antecedent, b AS consequent, freq FROM s2 UNION ALL SELECT b, a, freq FROM s2
+    UNION ALL SELECT concat(a, ',', b), c, freq FROM s3 UNION ALL SELECT concat(a, ',', c), b, freq FROM s3
+    UNION ALL SELECT concat(b, ',', c), a, freq FROM s3),
+  base AS (SELECT a AS antecedent, freq FROM s1 UNION ALL SELECT concat(a, ',', b), freq FROM s2),
+  rules AS (SELECT p.antecedent, p.consequent, p.freq / x.freq AS confidence,
     (p.freq / x.freq) / (y.freq / (SELECT users FROM n)) AS lift, p.freq / (SELECT users FROM n) AS support
-    FROM pairs p JOIN s1 x ON p.a = x.a JOIN s1 y ON p.b = y.a WHERE p.freq / x.freq >= {CONFIDENCE})"""
+    FROM cand p JOIN base x ON p.antecedent = x.antecedent JOIN s1 y ON p.consequent = y.a WHERE p.freq / x.freq >= {CONFIDENCE})"""
 
 
 @query(
@@ -44,7 +50,8 @@ def model(fx: Fixtures):
 @query(
     "r05_itemsets",
     f"""WITH {SETS} SELECT a AS itemset, CAST(1 AS INT) AS size, freq FROM s1
-      UNION ALL SELECT concat(a, ',', b), CAST(2 AS INT), freq FROM s2""",
+      UNION ALL SELECT concat(a, ',', b), CAST(2 AS INT), freq FROM s2
+      UNION ALL SELECT concat(a, ',', b, ',', c), CAST(3 AS INT), freq FROM s3""",
     ("ratings",),
 )
 def r05(fx: Fixtures) -> DataFrame:
@@ -62,8 +69,9 @@ def r06(fx: Fixtures) -> DataFrame:
 
 @query(
     "r07_apply_rules",
-    f"""WITH {SETS}, hits AS (SELECT DISTINCT l.User_ID, consequent FROM l JOIN rules ON l.Movie_ID = antecedent
-        WHERE NOT EXISTS (SELECT 1 FROM l o WHERE o.User_ID = l.User_ID AND o.Movie_ID = consequent))
+    f"""WITH {SETS}, hits AS (SELECT DISTINCT l.User_ID, consequent FROM l JOIN rules ON l.Movie_ID = split_part(antecedent, ',', 1)
+        WHERE (NOT contains(antecedent, ',') OR EXISTS (SELECT 1 FROM l w WHERE w.User_ID = l.User_ID AND w.Movie_ID = split_part(antecedent, ',', 2)))
+        AND NOT EXISTS (SELECT 1 FROM l o WHERE o.User_ID = l.User_ID AND o.Movie_ID = consequent))
       SELECT u.User_ID, coalesce(array_to_string(list_sort(list(consequent) FILTER (consequent IS NOT NULL)), ','), '') AS prediction
       FROM (SELECT DISTINCT User_ID FROM l) u LEFT JOIN hits ON u.User_ID = hits.User_ID GROUP BY 1""",
     ("ratings",),
