@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.expressions import as_col, correlation, format_pattern, late_flag
 from tablework.operators.joins import full_outer_by_key, with_total
-from tablework.operators.quantiles import exact_medians, exact_quantiles
+from tablework.operators.quantiles import exact_quantiles
 
 
 def value_counts(df: DataFrame, *cols: str) -> DataFrame:
@@ -39,13 +39,13 @@ def distinct_counts(df: DataFrame, by: Sequence[str], exprs: Mapping[str, str |
 def price_stats(df: DataFrame, date: str | Column, cols: Mapping[str, str], out_date: str = "forecast_date") -> DataFrame:
     """Exact median and mean per date; ``cols`` maps a column to the prefix of its results."""
     data = df.select(as_col(date).alias(out_date), *cols)
-    means = data.groupBy(out_date).agg(*[F.avg(c).alias(f"{p}_average") for c, p in cols.items()])
-    medians = exact_medians(data, [out_date], list(cols)).select(
-        F.col(out_date).alias("_d"), *[F.col(f"{c}_median").alias(f"{p}_median") for c, p in cols.items()]
-    )
-    # Means keep every date, medians only dates that hold a value.
-    joined = means.join(medians, means[out_date].eqNullSafe(F.col("_d")), "left")
-    return joined.select(out_date, *[x for p in cols.values() for x in (f"{p}_median", f"{p}_average")])
+    stats = exact_quantiles(data, [out_date], list(cols), [0.5])
+    aggs = []
+    for c, prefix in cols.items():
+        mine = F.col("_col") == c
+        aggs.append(F.max(F.when(mine, F.col("q0"))).alias(f"{prefix}_median"))
+        aggs.append(F.max(F.when(mine, F.col("mean"))).alias(f"{prefix}_average"))
+    return stats.groupBy(out_date).agg(*aggs)
 
 
 def energy_prices_daily(electricity: DataFrame, gas: DataFrame) -> DataFrame:
@@ -153,36 +153,37 @@ def fill_rates(df: DataFrame) -> DataFrame:
 
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per numeric column: count, nulls, mean, sample deviation, min, exact quartiles, max."""
-    base = _per_column(
-        df,
-        cols,
-        {
-            "count": lambda c: F.count(F.col(c)),
-            "nulls": lambda c: F.count_if(F.col(c).isNull()),
-            "mean": lambda c: F.avg(c),
-            "stddev": lambda c: F.stddev_samp(c),
-            "min": lambda c: F.min(F.col(c)).cast("double"),
-            "max": lambda c: F.max(F.col(c)).cast("double"),
-        },
-    )
-    q = exact_quantiles(df, [], cols, [0.25, 0.5, 0.75]).select(
-        F.col("_col").alias("column_name"), F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75")
+    q = exact_quantiles(df, [], cols, [0.25, 0.5, 0.75])
+    return q.select(
+        F.col("_col").alias("column_name"),
+        F.col("n").alias("count"),
+        (F.col("n_rows") - F.col("n")).alias("nulls"),
+        "mean",
+        "stddev",
+        "min",
+        F.col("q0").alias("p25"),
+        F.col("q1").alias("p50"),
+        F.col("q2").alias("p75"),
+        "max",
     )
-    return base.join(q, "column_name", "left")
+
+
+def _grand_total(counts: DataFrame) -> DataFrame:
+    """The total from the group counts: their shuffle is reused, the rows are not read again."""
+    return counts.agg(F.sum("count").alias("total"))
 
 
 def class_balance(df: DataFrame, col: str) -> DataFrame:
     counts = value_counts(df, col)
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    return with_total(counts, total).select(
+    return with_total(counts, _grand_total(counts)).select(
         col, "count", (F.lit(100.0) * F.try_divide(F.col("count"), F.col("total"))).alias("percent")
     )
 
 
 def share_of_total(df: DataFrame, by: str, digits: int = 2) -> DataFrame:
     """Count per group, its share of all rows with a value, and the count in thousands as text."""
-    known = df.where(F.col(by).isNotNull())
-    return with_total(value_counts(known, by), known.agg(F.count(F.lit(1)).alias("total"))).select(
+    counts = value_counts(df.where(F.col(by).isNotNull()), by)
+    return with_total(counts, _grand_total(counts)).select(
         by,
         "count",
         "total",

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablework.session import staged
+
 ACCURACY = 100_000
 SMALL = 100_000  # groups up to this size are counted in full
 
@@ -19,95 +21,92 @@ def exact_quantiles(
     accuracy: int = ACCURACY,
     small: int = SMALL,
 ) -> DataFrame:
-    """Interpolated quantiles per key and column: ``keys, _col, n, q0, q1, ...`` in the order of ``probs``.
+    """Interpolated quantiles and moments, one row per key and column.
+
+    Columns: ``keys, _col, n_rows, n, mean, stddev, min, max, q0, q1, ...`` with the quantiles in
+    rising order of ``probs``; ``n`` counts values, and a group without any has null results.
 
     Spark's own exact percentile keeps every distinct value of a group in one buffer. Here a
     bounded sketch first gives a bracket around each wanted rank. Then the values outside the
     brackets collapse to counts, so only about ``1 / accuracy`` of a large group's values are
     ranked. Both passes combine before their shuffle, so a hot group costs no more than others.
+
+    The sketch (one row per group) is stored before the second pass: Spark then knows its real size
+    and broadcasts it only if that is small, without shuffling the facts on speculation.
     """
     probs = sorted(probs)
     keys = list(keys)
-    slack = 4.0 / accuracy
+    group = [*keys, "_col"]
     long = df.select(
         *keys,
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val")) for c in cols])
         ).alias("_p"),
-    ).select(*keys, "_p._col", "_p._val").where(F.col("_val").isNotNull())
-    group = [*keys, "_col"]
+    ).select(*keys, "_p._col", "_p._val")
 
-    cuts = []
-    for p in probs:
-        cuts += [max(0.0, p - slack), min(1.0, p + slack)]
-    sketch = long.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("_val").alias("_min"),
-        F.max("_val").alias("_max"),
-        F.percentile_approx("_val", cuts, accuracy).alias("_cuts"),
+    slack = 4.0 / accuracy
+    cuts = [c for p in probs for c in (max(0.0, p - slack), min(1.0, p + slack))]
+    sketch = staged(
+        long.groupBy(*group).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("_val").alias("n"),
+            F.avg("_val").alias("mean"),
+            F.stddev_samp("_val").alias("stddev"),
+            F.min("_val").alias("min"),
+            F.max("_val").alias("max"),
+            F.percentile_approx("_val", cuts, accuracy).alias("_cuts"),
+        ),
+        "sketch",
     )
     # A small group is bracketed by its whole range, since the slack may be less than one rank there.
     whole = F.col("n") <= small
-    bounds = sketch.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-        "n",
-        *[
-            c
-            for i in range(len(probs))
-            for c in (
-                F.when(whole, F.col("_min")).otherwise(F.col("_cuts")[2 * i]).alias(f"_lo{i}"),
-                F.when(whole, F.col("_max")).otherwise(F.col("_cuts")[2 * i + 1]).alias(f"_hi{i}"),
-            )
-        ],
-    )
-    on = F.lit(True)
-    for i, g in enumerate(group):
-        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    joined = long.join(bounds, on)
+    side = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    brackets = []
+    for i in range(len(probs)):
+        brackets.append(F.when(whole, F.col("min")).otherwise(F.col("_cuts")[2 * i]).alias(f"_lo{i}"))
+        brackets.append(F.when(whole, F.col("max")).otherwise(F.col("_cuts")[2 * i + 1]).alias(f"_hi{i}"))
+    bounds = sketch.where(F.col("n") > 0).select(*side, *brackets)
+    same = _all([F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)])
+    joined = long.where(F.col("_val").isNotNull()).join(bounds, same)
 
     # The chain walks the brackets upwards: below one -> its lower bound as a mere count,
     # inside -> the value itself, above the last -> not needed.
-    value = F.col("_val")
-    seg, real = None, None
+    value, seg, real = F.col("_val"), F, F
     for i in range(len(probs)):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        seg = F.when(value < lo, lo) if seg is None else seg.when(value < lo, lo)
-        real = F.when(value < lo, 0) if real is None else real.when(value < lo, 0)
-        seg, real = seg.when(value <= hi, value), real.when(value <= hi, 1)
+        seg = seg.when(value < lo, lo).when(value <= hi, value)
+        real = real.when(value < lo, 0).when(value <= hi, 1)
     counted = (
-        joined.select(*group, "n", seg.alias("_seg"), real.alias("_real"))
+        joined.select(*group, seg.alias("_seg"), real.alias("_real"))
         .where(F.col("_seg").isNotNull())
-        .groupBy(*group, "n", "_seg", "_real")
+        .groupBy(*group, "_seg", "_real")
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
     run = Window.partitionBy(*group).orderBy("_seg", "_real").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_cum", F.sum("_cnt").over(run))
+    ranked = counted.withColumn("_cum", F.sum("_cnt").over(run)).join(sketch.select(*side, "n"), same)
 
     def at(rank: Column) -> Column:
         hit = (F.col("_cum") > rank) & (F.col("_cum") - F.col("_cnt") <= rank) & (F.col("_real") == 1)
         return F.max(F.when(hit, F.col("_seg")))
 
-    picks = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        picks += [
-            at(F.floor(pos)).alias(f"_a{i}"),
-            at(F.ceil(pos)).alias(f"_b{i}"),
-        ]
-    out = ranked.groupBy(*group, "n").agg(*picks)
-    return out.select(
-        *group,
-        "n",
-        *[_interpolate(F.col(f"_a{i}"), F.col(f"_b{i}"), float(p), F.col("n")).alias(f"q{i}") for i, p in enumerate(probs)],
-    )
+    def pos(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("n") - 1)
 
-
-def _interpolate(a: Column, b: Column, p: float, n: Column) -> Column:
-    pos = F.lit(p) * (n - 1)
-    return a + (b - a) * (pos - F.floor(pos))
+    picks = ranked.groupBy(*group).agg(
+        *[at(F.floor(pos(p))).alias(f"_a{i}") for i, p in enumerate(probs)],
+        *[at(F.ceil(pos(p))).alias(f"_b{i}") for i, p in enumerate(probs)],
+    )
+    picks = picks.select(*side, *[f"_{x}{i}" for i in range(len(probs)) for x in "ab"])
+    quantiles = []
+    for i, p in enumerate(probs):
+        low, high = F.col(f"_a{i}"), F.col(f"_b{i}")
+        quantiles.append((low + (high - low) * (pos(p) - F.floor(pos(p)))).alias(f"q{i}"))
+    out = sketch.join(picks, same, "left")
+    return out.select(*group, "n_rows", "n", "mean", "stddev", "min", "max", *quantiles)
 
 
-def exact_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """``keys`` plus one ``<col>_median`` per column; groups without any value are absent."""
-    q = exact_quantiles(df, keys, cols, [0.5])
-    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_col") == c, F.col("q0"))).alias(f"{c}_median") for c in cols])
+def _all(conditions: Sequence[Column]) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "tablework", shuffle_partitions: int = 8) -> SparkSession:
@@ -57,3 +57,18 @@ def fresh_database(spark: SparkSession, label: str) -> str:
     name = f"tw_{label}_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, name)}'")
     return name
+
+
+def staged(df: DataFrame, label: str, spread: bool = False) -> DataFrame:
+    """Write an intermediate result to the shared folder and return it as a scan.
+
+    Later steps start from the files: nothing upstream is computed twice, a lost executor costs no
+    replay, and the optimizer knows the true size. ``spread=True`` deals the rows evenly over the
+    shuffle partitions first, for iterative fits whose input came from few files.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    if spread:
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

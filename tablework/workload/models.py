@@ -13,8 +13,7 @@ from tablework.ml import metrics as ME
 from tablework.ml import regression as RG
 from tablework.operators.clean import complete_rows
 from tablework.operators.joins import latest_blocks
-from tablework.session import fresh_database, scratch_dir
-from tablework.sinks.tables import write_table
+from tablework.session import scratch_dir, staged
 from tablework.workload.fixtures import Fixtures
 from tablework.workload.joins import rounded
 from tablework.workload.registry import query
@@ -122,7 +121,7 @@ def delay_model_rows(fx: Fixtures) -> DataFrame:
 
 @query("m06_elastic_net")
 def m06(fx: Fixtures) -> DataFrame:
-    rows = delay_model_rows(fx)
+    rows = staged(delay_model_rows(fx), "m06", spread=True)
     fitted = RG.elastic_net(rows, "ArrDelay", DELAY_FEATURES)
     quality = [("(rmse)", fitted.summary.rootMeanSquaredError), ("(r2)", fitted.summary.r2)]
     return RG.coefficient_table(rows, fitted, DELAY_FEATURES).union(
@@ -140,8 +139,7 @@ def m07(fx: Fixtures) -> DataFrame:
     rows = training_rows(fx)
     data = FE.feature_pipeline(rows, FEATURES, []).transform(rows)
     data = RG.with_fold(data, ["row_id"], 2).select("target", "features", "fold")
-    db = fresh_database(fx.spark, "m07")
-    stored = write_table(data, f"{db}.features")
+    stored = staged(data, "m07", spread=True)
     best = RG.gbt_cv(stored, depths=(2, 4), bins=(32,), folds=2, max_iter=3, fold_col="fold")
     return RG.cv_table(rows, best)
 
@@ -200,7 +198,9 @@ def m12(fx: Fixtures) -> DataFrame:
 
 
 def house_rows(fx: Fixtures) -> DataFrame:
-    return fx.houses().select("id", "price_num", "sqft_living", "sqft_lot", "sqft_basement", "grade")
+    """Stored once: every fit below reads its rows several times."""
+    rows = fx.houses().select("id", "price_num", "sqft_living", "sqft_lot", "sqft_basement", "grade")
+    return staged(rows, "houses", spread=True)
 
 
 HOUSE_FEATURES = ["sqft_living", "sqft_lot", "sqft_basement", "grade"]
@@ -318,6 +318,7 @@ def m19_log(fx: Fixtures) -> DataFrame:
     """Models of the log price, compared on the price itself."""
     data = house_rows(fx).withColumn("log_price", F.ln("price_num"))
     train, test = FE.hash_split(data, ["id"], [0.7, 0.3])
+    train = staged(train, "m19")
     scored = test
     for name, fitted in (
         ("linear_model", RG.ols(train, "log_price", HOUSE_FEATURES)),
