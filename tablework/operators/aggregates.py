@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.expressions import as_col, correlation, format_pattern, late_flag
+from tablework.functions.expressions import as_col, correlation, format_pattern, late_flag, parse_number
 from tablework.operators.joins import full_outer_by_key, with_total
 from tablework.operators.quantiles import exact_quantiles
 
@@ -89,10 +89,12 @@ def delay_rates(df: DataFrame, *by: str, min_sample: int | None = None) -> DataF
 
     With ``min_sample`` only groups above that size and with a defined late rate stay.
     """
-    late = late_flag(F.col("ArrDelay").try_cast("int"))
-    known = F.count(late)
-    late_rate = F.try_divide(F.count_if(late), known)
-    out = df.groupBy(*by).agg(
+    # The flag is a column of its own: inside the aggregate the cast would run once per use.
+    is_text = dict(df.dtypes)["ArrDelay"] == "string"
+    delay = parse_number("ArrDelay", "int") if is_text else F.col("ArrDelay")
+    flagged = df.select(*by, "Cancelled", late_flag(delay).alias("_late"))
+    late_rate = F.try_divide(F.count_if("_late"), F.count("_late"))
+    out = flagged.groupBy(*by).agg(
         F.try_divide(F.sum("Cancelled"), F.count(F.lit(1))).alias("cancel_rate"),
         late_rate.alias("late_rate"),
         (1 - late_rate).alias("on_time_rate"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablework.functions.expressions import hash_fraction
+from tablework.functions.expressions import hash_fraction, parse_number
 
 
 def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
@@ -18,7 +18,8 @@ def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns; values that do not fit become null."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    text = {c for c, t in df.dtypes if t == "string"}
+    return df.withColumns({c: parse_number(c, t) if c in text else F.col(c).try_cast(t) for c, t in types.items()})
 
 
 def complete_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablework.functions.expressions import parse_number
+
 
 def parse_block_ratings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Ratings from files in which a line ``<item>:`` sets the item of the following lines
@@ -64,6 +66,6 @@ def parse_titles(spark: SparkSession, paths: str | Sequence[str], encoding: str
     raw = spark.read.option("encoding", encoding).schema("value STRING").csv(paths, sep="\u0001", quote="")
     return raw.select(
         F.trim(F.get(fields, F.lit(0))).alias("Movie_ID"),
-        F.get(fields, F.lit(1)).try_cast("int").alias("Release_Year"),
+        parse_number(F.get(fields, F.lit(1)), "int").alias("Release_Year"),
         F.regexp_replace(F.coalesce(F.get(fields, F.lit(2)), F.lit("")), ",", "").alias("Title"),
     )

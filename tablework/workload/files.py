@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.schemas import table
-from tablework.session import fresh_database, scratch_dir
+from tablework.session import fresh_database, scratch_dir, staged
 from tablework.sinks import tables as K
 from tablework.sources import files as S
 from tablework.sources import text as TX
@@ -77,7 +77,7 @@ def block_files(fx: Fixtures, label: str) -> list[str]:
     )
     lines = data.select("item", F.lit(1).alias("kind"), F.concat_ws(",", "User_ID", "Rating", "Date").alias("value"))
     heads = data.select("item").distinct().select("item", F.lit(0).alias("kind"), F.concat("item", F.lit(":")).alias("value"))
-    both = lines.unionByName(heads)
+    both = staged(lines.unionByName(heads), label, spread=True)
     paths = []
     for i in range(4):
         path = scratch_dir(fx.spark, f"{label}-{i}")

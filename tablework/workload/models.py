@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.expressions import sentinel_to_zero
+from tablework.functions.expressions import parse_number, sentinel_to_zero
 from tablework.ml import diagnostics as D
 from tablework.ml import features as FE
 from tablework.ml import metrics as ME
@@ -109,7 +109,7 @@ def delay_model_rows(fx: Fixtures) -> DataFrame:
     kept = fx.flights().where((F.col("Cancelled") == 0) & F.col("AirTime").isNotNull())
     return complete_rows(
         kept.select(
-            F.col("ArrDelay").try_cast("double").alias("ArrDelay"),
+            parse_number("ArrDelay", "double").alias("ArrDelay"),
             "AirTime",
             "Distance",
             "TaxiIn",

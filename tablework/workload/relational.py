@@ -214,7 +214,7 @@ def p16(fx: Fixtures) -> DataFrame:
     ("flights",),
 )
 def p17(fx: Fixtures) -> DataFrame:
-    late = X.late_flag(X.try_cast("ArrDelay", "int"))
+    late = X.late_flag(X.parse_number("ArrDelay", "int"))
     return fx.flights().select("Year", "TailNum", "ArrDelay", late.alias("LateArrival"))
 
 
@@ -512,7 +512,7 @@ def f_conditional(fx: Fixtures) -> DataFrame:
         F.when(t.isNull(), "none").when(t > 10, "high").otherwise("low").alias("level"),
         F.coalesce(t > 10, F.lit(False)).alias("is_high"),
         t.isNull().alias("missing"),
-        X.try_cast(code, "int").alias("code"),
+        X.parse_number(code, "int").alias("code"),
     )
 
 
