@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,4 +75,8 @@ def merge_sync(
     names = ("insert", "update", "keep", "delete")
     counted = actions.observe(seen, *[F.count_if(F.col("_action") == a).alias(a) for a in names])
     swap_table(counted.where(F.col("_action") != "delete").drop("_action"), target)
-    return {a: seen.get[a] for a in names}
+    try:
+        counts = seen.get
+    except Py4JJavaError:  # a plan found to be empty at run time reports no metrics at all
+        counts = {}
+    return {a: counts.get(a, 0) for a in names}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -68,11 +68,10 @@ def load_bronze(
             data = data.where(F.col(BLOCK).between(first, final)).join(present, BLOCK, "left_anti")
         else:
             data = data.where(F.col(BLOCK).between(first, final))
-        seen = Observation()  # the new mark is found while writing
-        write_table(data.observe(seen, F.max(BLOCK).alias("top")), name, "append", [BLOCK])
-        top = seen.get["top"]
-        if top is None:  # nothing written: perhaps an earlier run did, but could not set the mark
-            top = spark.table(name).where(F.col(BLOCK).between(first, final)).agg(F.max(BLOCK)).first()[0]
+        write_table(data, name, "append", [BLOCK])
+        # The new mark comes from the table, not from this write: an earlier run may have written the
+        # blocks and died before it set the mark. Only partition values of the window are looked at.
+        top = spark.table(name).where(F.col(BLOCK).between(first, final)).agg(F.max(BLOCK)).first()[0]
         if top is None:
             done[name] = "nothing new"
         else:
