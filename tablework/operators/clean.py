@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NumericType, StructType
 
 from tablework.functions.expressions import hash_fraction, parse_number
 
@@ -130,6 +130,9 @@ def enforce_schema(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFr
     A row is rejected when a value does not parse or a required one is missing.
     """
     typed = {f"_t_{f.name}": F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    for f in schema.fields:
+        if isinstance(f.dataType, NumericType) and dict(df.dtypes)[f.name] == "string":
+            typed[f"_t_{f.name}"] = parse_number(f.name, f.dataType.simpleString())
     bad = F.lit(False)
     for f in schema.fields:
         broken = F.col(f.name).isNotNull() & F.col(f"_t_{f.name}").isNull()

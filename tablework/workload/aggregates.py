@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.expressions import bucketize
 from tablework.operators import aggregates as A
 from tablework.operators.clean import complete_rows
 from tablework.workload.fixtures import Fixtures
 from tablework.workload.joins import rounded
 from tablework.workload.registry import query
+from tablework.workload.relational import patio_bucket
 
 
 @query(
@@ -316,6 +316,4 @@ def a25(fx: Fixtures) -> DataFrame:
 )
 def a27(fx: Fixtures) -> DataFrame:
     data = fx.properties().where(F.col("fips").isNotNull()).select("p_brand", "yardbuildingsqft17").distinct()
-    return A.bucket_counts(
-        data, bucketize("yardbuildingsqft17", [200, 300, 400], ["<200", "200-300", "300-400", ">400"]), "patiorange"
-    )
+    return A.bucket_counts(data, patio_bucket(), "patiorange")

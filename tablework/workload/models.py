@@ -129,6 +129,38 @@ def m06(fx: Fixtures) -> DataFrame:
     )
 
 
+# One predictor has a closed form: a soft-thresholded correlation on scaled columns, where the penalty
+# is divided by the label's deviation.
+PENALISED = """WITH c AS (SELECT count(*) AS n, avg(price_num) AS my, avg(sqft_lot) AS mx, stddev_samp(price_num) AS sy,
+    stddev_samp(sqft_lot) AS sx, corr(price_num, sqft_lot) AS r FROM houses),
+  b AS (SELECT *, (n - 1) / n AS k, {reg} / sy AS l FROM c),
+  s AS (SELECT *, sign(r) * greatest(abs(r * k) - {mix} * l, 0) / (k + (1 - {mix}) * l) * sy / sx AS slope FROM b)
+  SELECT '(intercept)' AS term, round(my - slope * mx, 0) AS coefficient FROM s UNION ALL SELECT 'sqft_lot', round(slope, 1) FROM s"""
+
+
+def penalised(fx: Fixtures, reg: float, mix: float) -> DataFrame:
+    rows = fx.houses()
+    fitted = RG.elastic_net(rows, "price_num", ["sqft_lot"], max_iter=100, reg=reg, mix=mix)
+    table = RG.coefficient_table(rows, fitted, ["sqft_lot"])
+    digits = F.when(F.col("term") == "sqft_lot", F.round("coefficient", 1)).otherwise(F.round("coefficient", 0))
+    return table.withColumn("coefficient", digits)
+
+
+@query("m06_elastic_net_simple", PENALISED.format(reg="100.0::DOUBLE", mix="0.8::DOUBLE"), ("houses",))
+def m06_simple(fx: Fixtures) -> DataFrame:
+    return penalised(fx, 100.0, 0.8)
+
+
+@query("m13_ridge_simple", PENALISED.format(reg="5000.0::DOUBLE", mix="0.0::DOUBLE"), ("houses",))
+def m13_ridge_simple(fx: Fixtures) -> DataFrame:
+    return penalised(fx, 5000.0, 0.0)
+
+
+@query("m13_lasso_simple", PENALISED.format(reg="50.0::DOUBLE", mix="1.0::DOUBLE"), ("houses",))
+def m13_lasso_simple(fx: Fixtures) -> DataFrame:
+    return penalised(fx, 50.0, 1.0)
+
+
 def training_rows(fx: Fixtures) -> DataFrame:
     return complete_rows(latest_blocks(fx.readings(), "data_block_id", 5)).where(F.col("target") != 0)
 

@@ -170,13 +170,17 @@ def p14(fx: Fixtures) -> DataFrame:
     )
 
 
+# The range labels of the counted buckets.
+PATIO_RANGES = ["<200", "200-300", "300-400", ">400"]
+TAX_RANGES = ["<1000", "1000-10000", "10000-100000", "100000-1000000", "Over_1000000"]
+
+
+def patio_bucket():
+    return X.bucketize("yardbuildingsqft17", [200, 300, 400], PATIO_RANGES)
+
+
 def tax_bucket():
-    return X.bucketize(
-        "taxvaluedollarcnt",
-        [1000, 10000, 100000, 1000000],
-        ["<1000", "1000-10000", "10000-100000", "100000-1000000", "Over_1000000"],
-        null_label="Null",
-    )
+    return X.bucketize("taxvaluedollarcnt", [1000, 10000, 100000, 1000000], TAX_RANGES, null_label="Null")
 
 
 @query(
@@ -192,8 +196,7 @@ def tax_bucket():
     ("properties",),
 )
 def p15(fx: Fixtures) -> DataFrame:
-    patio = X.bucketize("yardbuildingsqft17", [200, 300, 400], ["<200", "200-300", "300-400", ">400"])
-    a = A.bucket_counts(fx.properties(), patio).select(F.lit("patio").alias("what"), "*")
+    a = A.bucket_counts(fx.properties(), patio_bucket()).select(F.lit("patio").alias("what"), "*")
     b = A.bucket_counts(fx.properties(), tax_bucket()).select(F.lit("tax").alias("what"), "*")
     return a.unionByName(b)
 
