@@ -8,7 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.sinks.tables import swap_table, write_table
+from tablework.sinks.tables import partition_columns, swap_table, write_table
 
 
 class DuplicateSourceKey(ValueError):
@@ -74,7 +74,7 @@ def merge_sync(
     actions = merge_actions(spark.table(target), source, keys, delete_missing, null_safe)
     names = ("insert", "update", "keep", "delete")
     counted = actions.observe(seen, *[F.count_if(F.col("_action") == a).alias(a) for a in names])
-    swap_table(counted.where(F.col("_action") != "delete").drop("_action"), target)
+    swap_table(counted.where(F.col("_action") != "delete").drop("_action"), target, partition_columns(spark, target))
     try:
         counts = seen.get
     except Py4JJavaError:  # a plan found to be empty at run time reports no metrics at all

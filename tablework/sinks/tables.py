@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -27,12 +28,15 @@ def balanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
 def write_table(
     df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Save as a parquet table and return it."""
+    """Save as a parquet table and return it; appending to a missing table creates it."""
+    spark = df.sparkSession
+    if mode == "overwrite" or not spark.catalog.tableExists(name):
+        return swap_table(df, name, partition_by)
     writer = balanced(df, partition_by).write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    return spark.table(name)
 
 
 def location_of(spark: SparkSession, name: str) -> str:
@@ -40,35 +44,60 @@ def location_of(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
-def database_location(spark: SparkSession, db: str) -> str:
-    return spark.catalog.getDatabase(db).locationUri
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _versions_prefix(spark: SparkSession, name: str) -> str:
+    """Folders of the versions of a table start with this path."""
+    db, table = name.split(".") if "." in name else (spark.catalog.currentDatabase(), name)
+    return f"{spark.catalog.getDatabase(db).locationUri}/{table}__"
 
 
 def swap_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Replace content and schema of ``db.table`` by a frame that may read that same table.
+    """Replace content and schema of a table by a frame that may read that same table.
 
-    The rows go to a new folder first; only then the table name points there. Readers see the
-    old or the new version, and a failed job leaves the old one in place.
+    Each version is written to a folder of its own; only then the table name points there. A job
+    that fails before leaves the old version in place. With equal columns the name is repointed in
+    one catalog call, otherwise it is dropped and created again. Old versions stay on disk, so that
+    running readers can finish, until :func:`drop_old_versions` is called.
     """
     spark = df.sparkSession
-    db, table = name.split(".")
-    path = f"{database_location(spark, db)}/{table}__{uuid.uuid4().hex[:12]}"
+    path = _versions_prefix(spark, name) + uuid.uuid4().hex[:12]
     writer = balanced(df, partition_by).write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     if spark.catalog.tableExists(name):
-        if spark.table(name).schema == spark.read.parquet(path).schema and not partition_by:
+        before = [(f.name, f.dataType) for f in spark.table(name).schema]
+        if not partition_by and not partition_columns(spark, name) and before == [(f.name, f.dataType) for f in df.schema]:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
             return spark.table(name)
         spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    parts = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts}LOCATION '{path}'")
     if partition_by:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
+def drop_old_versions(spark: SparkSession, name: str) -> int:
+    """Delete the version folders of a table that its name no longer points to; returns their number."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(_versions_prefix(spark, name) + "*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    current = location_of(spark, name).rstrip("/").rsplit("/", 1)[-1]
+    table = name.split(".")[-1]
+    folders = [s.getPath() for s in fs.globStatus(pattern) or []]
+    ours = [f for f in folders if re.fullmatch(rf"{table}__[0-9a-f]{{12}}", f.getName())]  # not those of t__x
+    old = [f for f in ours if f.getName() != current]
+    for folder in old:
+        fs.delete(folder, True)
+    return len(old)
+
+
 def ctas(df: DataFrame, name: str, if_not_exists: bool = False) -> DataFrame:
     """``CREATE TABLE ... AS``; with ``if_not_exists`` an existing table stays as it is."""
     spark = df.sparkSession

@@ -1,7 +1,7 @@
 import pytest
 
 from tablework.operators import merge as M
-from tablework.sinks.tables import swap_table, write_table
+from tablework.sinks.tables import drop_old_versions, partition_columns, swap_table, write_table
 from tests.conftest import rows
 
 SCHEMA = "k int, v string, w double"
@@ -66,3 +66,26 @@ def test_empty_sides(spark, db):
     assert M.merge_sync(spark, f"{db}.t", source.limit(0), ["k"]) == {"insert": 0, "update": 0, "keep": 0, "delete": 0}
     assert M.merge_sync(spark, f"{db}.t", source, ["k"])["insert"] == 3
     assert spark.table(f"{db}.t").columns == ["k", "v", "w"]
+
+
+def test_merge_keeps_partitions(spark, db):
+    target, source = sides(spark)
+    write_table(target, f"{db}.t", partition_by=["v"])
+    assert M.merge_sync(spark, f"{db}.t", source, ["k"])["update"] == 1
+    assert partition_columns(spark, f"{db}.t") == ["v"]
+    assert rows(spark.table(f"{db}.t"), "k", "v", "w") == rows(source)
+
+
+def test_write_merge_write_and_clean_up(spark, db):
+    target, source = sides(spark)
+    name = f"{db}.t"
+    write_table(target, name)
+    M.merge_sync(spark, name, source, ["k"])
+    write_table(target, name)
+    write_table(target, name, "append")
+    assert spark.table(name).count() == 6
+    write_table(spark.table(name).select("k"), name)
+    write_table(target, name, partition_by=["v"])
+    assert drop_old_versions(spark, name) == 4
+    assert rows(spark.table(name), "k", "v", "w") == rows(target)
+    assert drop_old_versions(spark, name) == 0
