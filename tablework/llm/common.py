@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablework.session import scratch_dir
 
@@ -36,7 +37,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function of this package."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

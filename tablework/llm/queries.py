@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, common, simple8b, warc
+from tablework.llm import bpe, common, simhash, simple8b, warc
 from tablework.session import scratch_dir
 
 
@@ -32,13 +32,18 @@ def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents, decode the ids."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op7_byte_bpe)
+    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op6_simhash_popcount, op7_byte_bpe)
 }
 
 SQL: dict[str, str] = {
