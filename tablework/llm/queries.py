@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, common, simhash, simple8b, warc
+from tablework.llm import bpe, common, pii, simhash, simple8b, warc
 from tablework.session import scratch_dir
 
 
@@ -32,6 +32,14 @@ def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op6_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -43,7 +51,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op6_simhash_popcount, op7_byte_bpe)
+    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op5_pii_spans, op6_simhash_popcount, op7_byte_bpe)
 }
 
 SQL: dict[str, str] = {
