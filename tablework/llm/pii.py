@@ -143,6 +143,10 @@ def spans(text: Column) -> Column:
     return F.array_sort(F.concat(*(spans_of(text, i, k) for i, k in enumerate(KINDS))))
 
 
+def is_kind(name: str) -> Callable[[Column], Column]:
+    return lambda s: s["kind"] == name
+
+
 def as_text(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 

@@ -36,7 +36,7 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    counts = [F.size(F.filter("spans", pii.is_kind(k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
     return found.select("doc_id", *counts, F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
 
 
