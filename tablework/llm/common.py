@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -89,11 +89,12 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_of(text: str) -> F.Column:
-    """Native: the words of a text column as an array; none for null and blank texts."""
-    return F.filter(F.split(F.coalesce(F.col(text), F.lit("")), WORD_SPLIT, -1), lambda w: w != "")
 
+def words_of(text: Column) -> Column:
+    """Native: the words of a text (not null) as an array."""
+    return F.filter(F.split(text, WORD_SPLIT, -1), lambda w: w != "")
 
-def let(value: F.Column, body) -> F.Column:
+
+def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body``: inside lambdas nothing else keeps Spark from evaluating it again."""
     return F.transform(F.array(value), body)[0]

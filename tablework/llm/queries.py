@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, common, pii, simhash, simple8b, warc
+from tablework.llm import bpe, common, pii, rules, simhash, simple8b, warc
 from tablework.session import scratch_dir
 
 
@@ -32,6 +32,11 @@ def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge all documents by the base rule and the learned list."""
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
@@ -51,7 +56,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op5_pii_spans, op6_simhash_popcount, op7_byte_bpe)
+    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op3_decision_list, op5_pii_spans, op6_simhash_popcount, op7_byte_bpe)
 }
 
 SQL: dict[str, str] = {
