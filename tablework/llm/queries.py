@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, common, pii, rules, simhash, simple8b, warc
+from tablework.llm import bpe, common, decontam, pii, ppm, rules, simhash, simple8b, warc
 from tablework.session import scratch_dir
 
 
@@ -37,6 +37,15 @@ def op3_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of all documents; a fifth of them, by a checksum of the id, teaches nothing."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = ppm.fit(ppm.training_rows(docs.where(remainder != 0)))
+    found = ppm.predict(docs, model)
+    return found.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of all documents."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
@@ -55,8 +64,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents: one row per document and item that it holds."""
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("start_word").cast("long"), F.col("n_words").cast("long"), F.round("similarity", 6).alias("similarity"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op3_decision_list, op5_pii_spans, op6_simhash_popcount, op7_byte_bpe)
+    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op3_decision_list, op4_language_ppm, op5_pii_spans, op6_simhash_popcount, op7_byte_bpe, op8_decontaminate)
 }
 
 SQL: dict[str, str] = {
@@ -66,4 +81,22 @@ SQL: dict[str, str] = {
       SELECT page_id, payload_bytes, payload_digest,
         CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to FROM f""",
+    "op8_decontaminate": """WITH
+      d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+      i AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+      ds AS (SELECT doc_id, len(w) AS doc_words, unnest(range(0, len(w) - 4)) AS pos, w FROM d WHERE len(w) >= 5),
+      dsh AS (SELECT doc_id, doc_words, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS sh FROM ds),
+      js AS (SELECT item_id, len(w) AS n, unnest(range(0, len(w) - 4)) AS pos, w FROM i WHERE len(w) >= 5),
+      ish AS (SELECT item_id, n, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS sh FROM js),
+      cand AS (SELECT DISTINCT doc_id, doc_words, item_id, n, dsh.pos - ish.pos AS s FROM dsh JOIN ish USING (sh)),
+      win AS (SELECT DISTINCT doc_id, item_id, greatest(s, 0) AS a, least(s + n, doc_words) AS b FROM cand),
+      wc AS (SELECT win.doc_id, win.item_id, win.a, win.b, sh, count(*) AS c FROM win
+        JOIN dsh ON dsh.doc_id = win.doc_id AND dsh.pos >= win.a AND dsh.pos <= win.b - 5 GROUP BY ALL),
+      ic AS (SELECT item_id, sh, count(*) AS c FROM ish GROUP BY ALL),
+      inter AS (SELECT wc.doc_id, wc.item_id, a, b, sum(least(wc.c, ic.c)) AS x FROM wc JOIN ic ON ic.item_id = wc.item_id AND ic.sh = wc.sh GROUP BY ALL),
+      scored AS (SELECT doc_id, inter.item_id, a, b, x / ((b - a - 4) + (n - 4) - x) AS similarity
+        FROM inter JOIN (SELECT DISTINCT item_id, n FROM js) USING (item_id))
+      SELECT doc_id, item_id, CAST(a AS BIGINT) AS start_word, CAST(b - a AS BIGINT) AS n_words, round(similarity, 6) AS similarity
+      FROM scored WHERE similarity >= 0.8
+      QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, a) = 1""",
 }
