@@ -63,7 +63,7 @@ def count_strings(docs: DataFrame, order: int = ORDER) -> DataFrame:
                     octets, offsets = joined(own[a:b])
                     for length in range(1, order + 2):
                         code, n = np.unique(codes(octets, offsets, length), return_counts=True)
-                        columns = [pa.array([lang] * len(code)), pa.array(np.full(len(code), length, np.int32)), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))]
+                        columns = [pa.array([lang] * len(code), pa.string()), pa.array(np.full(len(code), length, np.int32)), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))]
                         yield pa.RecordBatch.from_arrays(columns, ["lang", "length", "code", "n"])
 
     counted = map_batches(docs.select("lang", "text"), run, "lang string, length int, code long, n long")

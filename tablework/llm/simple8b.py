@@ -230,7 +230,7 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
                     begins = ends - about[:, 2]
                     parts = [flat[4 * a : 4 * b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
                     columns = [
-                        pa.array([file] * len(about)),
+                        pa.array([file] * len(about), pa.string()),
                         pa.array(np.arange(position, position + len(about))),
                         pa.array(about[:, 0], mask=about[:, 1] == 0),
                         pa.array(about[:, 2]),
