@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, common, decontam, pii, ppm, rules, simhash, simple8b, suffix, warc
+from tablework.llm import bpe, common, cotrain, decontam, pii, ppm, rules, simhash, simple8b, suffix, warc
 from tablework.session import scratch_dir
 
 
@@ -70,13 +70,30 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.col("start_word").cast("long"), F.col("n_words").cast("long"), F.round("similarity", 6).alias("similarity"))
 
 
+def op9_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and verdict of all documents."""
+    return cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_suffix_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that several documents share."""
     return suffix.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_simple8b, op3_decision_list, op4_language_ppm, op5_pii_spans, op6_simhash_popcount, op7_byte_bpe, op8_decontaminate, op10_suffix_passages)
+    f.__name__: f
+    for f in (
+        op1_warc_revisits,
+        op2_simple8b,
+        op3_decision_list,
+        op4_language_ppm,
+        op5_pii_spans,
+        op6_simhash_popcount,
+        op7_byte_bpe,
+        op8_decontaminate,
+        op9_cotraining,
+        op10_suffix_passages,
+    )
 }
 
 SQL: dict[str, str] = {
