@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -232,35 +232,16 @@ def influence(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     )
 
 
-# Tail probabilities: no statistics package is at hand, and each is needed for a handful of numbers.
+# Tail probabilities come from the mathematics library among Spark's own jars, whatever the degrees of freedom.
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function, evaluated backwards."""
-    out = 0.0
-    for m in range(300, 0, -1):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        out = even / (1 + odd / (1 + out))
-    first = -(a + b) * x / (a + 1)
-    return 1 / (1 + first / (1 + out))
-
-
-def beta_cdf(x: float, a: float, b: float) -> float:
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    if x < (a + 1) / (a + b + 2):
-        return front * _beta_fraction(a, b, x) / a
-    return 1 - front * _beta_fraction(b, a, 1 - x) / b
+def _special():
+    return SparkSession.active().sparkContext._jvm.org.apache.commons.math3.special
 
 
 def f_tail(f: float, d1: float, d2: float) -> float:
-    if d2 > 1e5:  # the fraction converges slowly there and the limit is as good
-        return chi2_tail(d1 * f, d1)
-    return beta_cdf(d2 / (d2 + d1 * f), d2 / 2, d1 / 2) if f > 0 else 1.0
+    """Upper tail of the F distribution."""
+    return float(_special().Beta.regularizedBeta(float(d2 / (d2 + d1 * f)), d2 / 2, d1 / 2)) if f > 0 else 1.0
 
 
 def student_tail(t: float, dof: float) -> float:
@@ -269,17 +250,5 @@ def student_tail(t: float, dof: float) -> float:
 
 
 def chi2_tail(x: float, dof: float) -> float:
-    """Upper tail, as the limit of the F distribution for many denominator degrees."""
-    if x <= 0:
-        return 1.0
-    a, z = dof / 2, x / 2
-    if z < a + 1:
-        term = total = 1 / a
-        for i in range(1, 1000):
-            term *= z / (a + i)
-            total += term
-        return 1 - total * math.exp(-z + a * math.log(z) - math.lgamma(a))
-    frac = 0.0
-    for i in range(300, 0, -1):
-        frac = i * (i - a) / (z + 2 * i + 1 - a - frac)
-    return math.exp(-z + a * math.log(z) - math.lgamma(a)) / (z + 1 - a - frac)
+    """Upper tail."""
+    return float(_special().Gamma.regularizedGammaQ(dof / 2, x / 2)) if x > 0 else 1.0

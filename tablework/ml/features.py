@@ -29,8 +29,9 @@ def feature_pipeline(
 
 def string_index(df: DataFrame, col: str) -> DataFrame:
     """The index of each value as a table, 0 for the most frequent one."""
-    model = StringIndexer(inputCol=col, outputCol="_i", stringOrderType="frequencyDesc").fit(df)
-    return model.transform(df.select(col).distinct()).select(
+    known = df.select(col).where(F.col(col).isNotNull())  # null is no value and gets no index
+    model = StringIndexer(inputCol=col, outputCol="_i", stringOrderType="frequencyDesc").fit(known)
+    return model.transform(known.distinct()).select(
         F.col(col).cast("string").alias("value"), F.col("_i").cast("int").alias("index")
     )
 

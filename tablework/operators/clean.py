@@ -107,20 +107,26 @@ def detect_categoricals(df: DataFrame, max_levels: int = 15) -> DataFrame:
     return counts.withColumn("is_categorical", F.col("n_distinct") <= max_levels)
 
 
-def one_hot(df: DataFrame, col: str, prefix: str | None = None, max_levels: int = 200) -> DataFrame:
+def one_hot(df: DataFrame, col: str, prefix: str | None = None, levels: Sequence[object] | None = None) -> DataFrame:
     """Replace a column by one 0/1 column per value, named ``prefix_value``.
 
-    Wide output only makes sense for few values. Beyond ``max_levels`` this refuses rather than
-    drops any; use :func:`tablework.ml.features.one_hot_vector` there.
+    ``levels`` names the values that get a column; by default all that occur do, which are as many
+    names as the result has columns. Values whose names would be equal get a number behind theirs. For
+    very many values :func:`tablework.ml.features.one_hot_vector` is the better form.
     """
     prefix = prefix or col
-    found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(found) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} values; use one_hot_vector")
-    levels = sorted(r[0] for r in found)
-    flags = [
-        F.when(F.col(col) == F.lit(v), 1).otherwise(0).alias(f"{prefix}_{str(v).replace(' ', '_')}") for v in levels
-    ]
+    if levels is None:
+        levels = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+    taken = {c.lower() for c in df.columns if c != col}
+    flags = []
+    for v in levels:
+        name = plain = f"{prefix}_{str(v).replace(' ', '_')}"
+        n = 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{plain}_{n}"
+        taken.add(name.lower())
+        flags.append(F.when(F.col(col) == F.lit(v), 1).otherwise(0).alias(name))
     return df.select(*[c for c in df.columns if c != col], *flags)
 
 

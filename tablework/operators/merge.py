@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.sinks.tables import partition_columns, swap_table, write_table
@@ -48,7 +48,21 @@ def merge_actions(
         .otherwise("delete" if delete_missing else "keep")
     )
     merged = [F.when(in_source, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in target.columns]
-    return t.join(s, on, "full").select(*merged, action.alias("_action"))
+    if null_safe:
+        return t.join(s, on, "full").select(*merged, action.alias("_action"))
+    # Null keys match nothing, so these rows need no join, in which they would meet in one task.
+    t_known, s_known = (_complete(x, [f"{side}_{k}" for k in keys]) for x, side in ((t, "t"), (s, "s")))
+    joined = t.where(t_known).join(s.where(s_known), on, "full").select(*merged, action.alias("_action"))
+    alone_t = t.where(~t_known).select(*[F.col(f"t_{c}").alias(c) for c in target.columns], F.lit("delete" if delete_missing else "keep").alias("_action"))
+    alone_s = s.where(~s_known).select(*[F.col(f"s_{c}").alias(c) for c in target.columns], F.lit("insert").alias("_action"))
+    return joined.unionByName(alone_t).unionByName(alone_s)
+
+
+def _complete(df: DataFrame, cols: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull()
+    return out
 
 
 def merge_sync(

@@ -13,7 +13,8 @@ from tablework.operators.clean import complete_rows, prefix_columns
 from tablework.operators.joins import join_shifted, latest_version, new_rows
 from tablework.operators.merge import merge_sync
 from tablework.schemas import AUDIT_COLUMNS, SILVER_KEYS
-from tablework.sinks.tables import get_watermark, set_watermark, write_table
+from tablework.session import staged
+from tablework.sinks.tables import get_watermark, replace_partitions, set_watermark, write_table
 from tablework.sources.files import discover_csv, read_csv, with_ingest_metadata
 from tablework.streaming.copy import stream_copy
 
@@ -21,18 +22,20 @@ CONTROL = "bronze_loading_checkpoint"
 BLOCK = "data_block_id"
 
 
-def block_window(last: int, blocks: int, reference_window: bool = False) -> tuple[int, int]:
-    """First and last block of the next load, both included.
+def next_blocks(data: DataFrame, last: int, blocks: int, reference_window: bool = False) -> list[int]:
+    """The next ``blocks`` block values above the mark that exist in the data, in rising order.
 
-    Normally the ``blocks`` blocks after the mark. ``reference_window=True`` is open on both ends,
-    as the original notebooks had it: one block less, and block 0 never on a first run.
+    Blocks that exist are counted, so a gap of any width in their numbers holds nothing up.
+    ``reference_window=True`` takes one block less, and never block 0, as the original notebooks did.
     """
     if blocks < 1:
         raise ValueError("load at least one block")
     if reference_window:
-        last = max(last, 0)
-        return last + 1, last + blocks - 1
-    return last + 1, last + blocks
+        last, blocks = max(last, 0), blocks - 1
+    if not blocks:
+        return []
+    found = data.where(F.col(BLOCK) > last).select(BLOCK).distinct().orderBy(BLOCK).limit(blocks)
+    return [r[0] for r in found.collect()]
 
 
 def load_bronze(
@@ -61,22 +64,18 @@ def load_bronze(
             done[name] = "replaced"
             continue
         last = get_watermark(spark, f"{db}.{CONTROL}", table)
-        first, final = block_window(last, blocks, reference_window)
-        # A repeat after a crash between write and mark must not append the same blocks again.
-        if spark.catalog.tableExists(name):
-            present = spark.table(name).where(F.col(BLOCK).between(first, final)).select(BLOCK).distinct()
-            data = data.where(F.col(BLOCK).between(first, final)).join(present, BLOCK, "left_anti")
-        else:
-            data = data.where(F.col(BLOCK).between(first, final))
-        write_table(data, name, "append", [BLOCK])
-        # The new mark comes from the table, not from this write: an earlier run may have written the
-        # blocks and died before it set the mark. Only partition values of the window are looked at.
-        top = spark.table(name).where(F.col(BLOCK).between(first, final)).agg(F.max(BLOCK)).first()[0]
-        if top is None:
+        window = next_blocks(data, last, blocks, reference_window)
+        if not window:
             done[name] = "nothing new"
+            continue
+        batch = data.where(F.col(BLOCK).between(window[0], window[-1]))
+        if spark.catalog.tableExists(name):
+            # A repeat after a crash between write and mark replaces what the lost run wrote of these blocks.
+            replace_partitions(batch, name, [BLOCK])
         else:
-            set_watermark(spark, f"{db}.{CONTROL}", table, top)
-            done[name] = f"blocks {first}..{top}"
+            write_table(batch, name, "append", [BLOCK])
+        set_watermark(spark, f"{db}.{CONTROL}", table, window[-1])
+        done[name] = f"blocks {window[0]}..{window[-1]}"
     return done
 
 
@@ -86,7 +85,7 @@ def silver_batch(bronze: DataFrame, silver: DataFrame | None, keys: Sequence[str
     Unseen keys are selected first. That gives the same rows as taking the latest versions first,
     since both act on whole keys, and leaves less to compare on incremental runs.
     """
-    unseen = bronze if silver is None else new_rows(bronze, silver, keys)
+    unseen = bronze if silver is None else staged(new_rows(bronze, silver, keys), "unseen")  # read twice below
     newest = latest_version(unseen, keys, "process_timestamp")
     return complete_rows(newest.drop(*AUDIT_COLUMNS))
 

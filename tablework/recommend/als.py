@@ -5,24 +5,63 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.operators.joins import score_pairs
-from tablework.session import ensure_checkpoint_dir
+from tablework.session import ensure_checkpoint_dir, staged
 
 
 def rating_triples(
     ratings: DataFrame, user: str = "User_ID", item: str = "Movie_ID", score: str = "Rating"
 ) -> DataFrame:
-    """Integer ids and float scores; rows whose ids are no integers are left out, as they cannot be factorised."""
+    """Integer ids and float scores; rows without an id or a score are left out, as they cannot be factorised.
+
+    An id that is no 32-bit integer stops the job; :func:`indexed_triples` takes ids of any kind.
+    """
+
+    def whole(c: str):
+        refused = F.raise_error(F.concat(F.lit(f"{c} is no 32-bit integer, use indexed_triples: "), F.col(c).cast("string")))
+        return F.when(F.col(c).isNull() | F.col(c).try_cast("int").isNotNull(), F.col(c).try_cast("int")).otherwise(refused.cast("int"))
+
     return ratings.select(
-        F.col(user).try_cast("int").alias("user"),
-        F.col(item).try_cast("int").alias("item"),
-        F.col(score).try_cast("float").alias("rating"),
+        whole(user).alias("user"), whole(item).alias("item"), F.col(score).try_cast("float").alias("rating")
     ).na.drop("any")
 
 
+def number_ids(ids: DataFrame, col: str, out: str, buckets: int = 1024) -> DataFrame:
+    """Distinct non-null values of a column with numbers from 0, as a stored table: ``col``, ``out``.
+
+    Values are numbered inside hash buckets, whose sizes (one row per bucket) give each its first number.
+    """
+    spark = ids.sparkSession
+    distinct = ids.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_b", F.pmod(F.xxhash64(col), F.lit(buckets)))
+    placed = staged(distinct.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(col))), "ids")
+    first, starts = 0, []
+    for b, n in placed.groupBy("_b").agg(F.max("_r")).orderBy("_b").collect():
+        starts.append((b, first))
+        first += n
+    if first > 2**31 - 1:
+        raise ValueError(f"{first} values of {col} do not fit 32-bit numbers")
+    offsets = spark.createDataFrame(starts, "_b long, _first long")
+    return staged(placed.join(offsets, "_b").select(col, (F.col("_first") + F.col("_r") - 1).cast("int").alias(out)), "ids")
+
+
+def indexed_triples(
+    ratings: DataFrame, user: str = "User_ID", item: str = "Movie_ID", score: str = "Rating"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Triples with numbered ids of any kind, and the tables that lead back: (user id, user), (item id, item)."""
+    users, items = number_ids(ratings, user, "user"), number_ids(ratings, item, "item")
+    rows = ratings.select(user, item, F.col(score).try_cast("float").alias("rating")).na.drop("any")
+    return rows.join(users, user).join(items, item).select("user", "item", "rating"), users, items
+
+
+def named(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Replace numbered users and items by their ids."""
+    out = df.join(users, "user").join(items, "item")
+    return out.select(*[c for c in users.columns + items.columns if c not in ("user", "item")], *[c for c in df.columns if c not in ("user", "item")])
+
+
 def als(
     triples: DataFrame,
     rank: int = 10,

@@ -6,8 +6,6 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RULES_BROADCAST_ROWS = 50_000
-
 
 def likes(ratings: DataFrame, minimum: int = 4, score: str = "Rating") -> DataFrame:
     return ratings.where(F.col(score) >= minimum)
@@ -53,23 +51,16 @@ def rules(model: FPGrowthModel) -> DataFrame:
     )
 
 
-def apply_rules(
-    model: FPGrowthModel, basket: DataFrame, user: str = "User_ID", limit_rows: int = RULES_BROADCAST_ROWS
-) -> DataFrame:
+def apply_rules(model: FPGrowthModel, basket: DataFrame, user: str = "User_ID") -> DataFrame:
     """Per basket the consequents of all rules it satisfies that it does not hold yet.
 
-    The model's own ``transform`` ships all rules to every task; it is used while their number is
-    within ``limit_rows``. Beyond that the rules are joined on one antecedent item, with equal results.
+    Each rule waits at the rarest item of its antecedent, so popular items do not fan out; the basket
+    that holds that item is then tested against the whole antecedent.
     """
-    found = model.associationRules
-    if found.limit(limit_rows + 1).count() <= limit_rows:
-        out = model.transform(basket)
-        return out.select(user, "items", F.sort_array("prediction").alias("prediction"))
-    return apply_rules_join(found, basket, user)
-
-
-def apply_rules_join(found: DataFrame, basket: DataFrame, user: str = "User_ID") -> DataFrame:
-    rule = found.select("antecedent", F.col("consequent")[0].alias("_c"), F.col("antecedent")[0].alias("_key"))
+    count = basket.select(F.explode("items").alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    found = model.associationRules.select("antecedent", F.col("consequent")[0].alias("_c"))
+    rarest = F.min(F.struct("_n", "_key"))["_key"].alias("_key")
+    rule = found.withColumn("_key", F.explode("antecedent")).join(count, "_key").groupBy("antecedent", "_c").agg(rarest)
     held = basket.select(user, "items", F.explode("items").alias("_key"))
     hits = (
         held.join(rule, "_key")
@@ -79,6 +70,5 @@ def apply_rules_join(found: DataFrame, basket: DataFrame, user: str = "User_ID")
         .groupBy(user)
         .agg(F.sort_array(F.collect_list("_c")).alias("prediction"))
     )
-    return basket.join(hits, user, "left").select(
-        user, "items", F.coalesce("prediction", F.array().cast("array<string>")).alias("prediction")
-    )
+    none = F.array().cast(basket.schema["items"].dataType)
+    return basket.join(hits, user, "left").select(user, "items", F.coalesce("prediction", none).alias("prediction"))

@@ -39,6 +39,23 @@ def write_table(
     return spark.table(name)
 
 
+def replace_partitions(df: DataFrame, name: str, partition_by: Sequence[str]) -> DataFrame:
+    """Write the frame's partition values into a table in place of what they held; other partitions stay.
+
+    Writing the same rows again leaves the same table.
+    """
+    spark = df.sparkSession
+    ordered = [c.name for c in spark.catalog.listColumns(name)]
+    key = "spark.sql.sources.partitionOverwriteMode"  # an insert into a table takes it from the session only
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        balanced(df.select(*ordered), partition_by).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(key, before)
+    return spark.table(name)
+
+
 def location_of(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE FORMATTED {name}").where(F.col("col_name") == "Location").collect()
     return rows[0]["data_type"]
@@ -50,8 +67,8 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
 
 def _versions_prefix(spark: SparkSession, name: str) -> str:
     """Folders of the versions of a table start with this path."""
-    db, table = name.split(".") if "." in name else (spark.catalog.currentDatabase(), name)
-    return f"{spark.catalog.getDatabase(db).locationUri}/{table}__"
+    db, _, table = name.rpartition(".")
+    return f"{spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri}/{table}__"
 
 
 def swap_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
@@ -59,8 +76,10 @@ def swap_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = No
 
     Each version is written to a folder of its own; only then the table name points there. A job
     that fails before leaves the old version in place. With equal columns the name is repointed in
-    one catalog call, otherwise it is dropped and created again. Old versions stay on disk, so that
-    running readers can finish, until :func:`drop_old_versions` is called.
+    one catalog call. Otherwise the new version is created under a second name, the old table steps
+    aside under a third, and the second takes the name; if that fails the old table gets its name
+    back, and only afterwards is it dropped. Old versions stay on disk, so that running readers can
+    finish, until :func:`drop_old_versions` is called.
     """
     spark = df.sparkSession
     path = _versions_prefix(spark, name) + uuid.uuid4().hex[:12]
@@ -74,12 +93,23 @@ def swap_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = No
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
             return spark.table(name)
-        spark.sql(f"DROP TABLE {name}")
+    fresh = f"{name}_new_{uuid.uuid4().hex[:8]}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     parts = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts}LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet {parts}LOCATION '{path}'")
     if partition_by:
-        spark.catalog.recoverPartitions(name)
+        spark.catalog.recoverPartitions(fresh)
+    aside = f"{name}_old_{uuid.uuid4().hex[:8]}" if spark.catalog.tableExists(name) else None
+    if aside:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    except Exception:
+        if aside:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    if aside:
+        spark.sql(f"DROP TABLE {aside}")
     return spark.table(name)
 
 

@@ -9,17 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablework.sinks.tables import swap_table
-
-TIMEOUT = 600
-
-
-def _finish(q: StreamingQuery, timeout: int = TIMEOUT) -> None:
-    """Wait for a run-to-completion query; later reads then see all of it."""
-    if not q.awaitTermination(timeout):
-        q.stop()
-        raise TimeoutError(f"stream {q.id} did not finish within {timeout} s")
-
+from tablework.sinks.tables import drop_old_versions, swap_table
 
 def stream_copy(
     spark: SparkSession,
@@ -42,7 +32,7 @@ def stream_copy(
         q = writer.toTable(target)
     if interval:
         return q
-    _finish(q)
+    q.awaitTermination()
     return None
 
 
@@ -55,6 +45,7 @@ def stream_counts(spark: SparkSession, source: str, keys: Sequence[str], target:
 
     def replace(batch: DataFrame, _: int) -> None:
         swap_table(batch, target)
+        drop_old_versions(spark, target)
 
     q = (
         counts.writeStream.outputMode("complete")
@@ -63,7 +54,7 @@ def stream_counts(spark: SparkSession, source: str, keys: Sequence[str], target:
         .foreachBatch(replace)
         .start()
     )
-    _finish(q)
+    q.awaitTermination()
 
 
 def stream_to_memory(stream: DataFrame, name: str | None = None) -> str:
@@ -74,5 +65,5 @@ def stream_to_memory(stream: DataFrame, name: str | None = None) -> str:
     name = name or f"mem_{uuid.uuid4().hex[:8]}"
     mode = "append"
     q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    _finish(q)
+    q.awaitTermination()
     return name

@@ -51,11 +51,10 @@ class Fixtures:
         )
 
     def gas_prices(self) -> DataFrame:
-        """Daily prices; every seventh day is missing so that outer joins have a one-sided key."""
+        """Daily prices, three days later than the readings so that outer joins have one-sided keys."""
         return (
             self.table("events")
-            .where(F.dayofmonth("ts") % 7 != 0)
-            .groupBy(F.to_date("ts").alias("forecast_date"))
+            .groupBy(F.date_add(F.to_date("ts"), 3).alias("forecast_date"))
             .agg(F.min("value").alias("lowest_price_per_mwh"), F.max("value").alias("highest_price_per_mwh"))
             .select(
                 "forecast_date",
@@ -69,12 +68,11 @@ class Fixtures:
     def client(self) -> DataFrame:
         return (
             self.table("events")
-            .where(F.col("event_type") != "error")
             .groupBy(
                 (F.col("user_id") % 4).cast("int").alias("product_type"),
                 (F.col("user_id") % 16).cast("int").alias("county"),
                 (F.col("user_id") % 2).cast("int").alias("is_business"),
-                F.to_date("ts").alias("date"),
+                F.date_add(F.to_date("ts"), 2).alias("date"),
             )
             .agg(
                 F.count_distinct("user_id").alias("eic_count"),
@@ -194,16 +192,16 @@ DUCK_VIEWS = {
           CAST(date_diff('day', DATE '2024-01-01', CAST(min(ts) AS DATE)) AS INT) AS data_block_id
         FROM events GROUP BY date_trunc('hour', ts)""",
     "gas_prices": """
-        SELECT CAST(ts AS DATE) AS forecast_date, min(value) AS lowest_price_per_mwh, max(value) AS highest_price_per_mwh,
-          CAST(CAST(ts AS DATE) - 1 AS DATE) AS origin_date,
-          CAST(date_diff('day', DATE '2024-01-01', CAST(min(ts) AS DATE)) AS INT) AS data_block_id
-        FROM events WHERE day(ts) % 7 <> 0 GROUP BY CAST(ts AS DATE)""",
+        SELECT CAST(CAST(ts AS DATE) + 3 AS DATE) AS forecast_date, min(value) AS lowest_price_per_mwh, max(value) AS highest_price_per_mwh,
+          CAST(CAST(ts AS DATE) + 2 AS DATE) AS origin_date,
+          CAST(date_diff('day', DATE '2024-01-01', CAST(min(ts) AS DATE)) + 3 AS INT) AS data_block_id
+        FROM events GROUP BY CAST(ts AS DATE)""",
     "client": """
         SELECT CAST(user_id % 4 AS INT) AS product_type, CAST(user_id % 16 AS INT) AS county,
-          CAST(user_id % 2 AS INT) AS is_business, CAST(ts AS DATE) AS date,
+          CAST(user_id % 2 AS INT) AS is_business, CAST(CAST(ts AS DATE) + 2 AS DATE) AS date,
           count(DISTINCT user_id) AS eic_count, round(sum(value), 4) AS installed_capacity,
-          CAST(date_diff('day', DATE '2024-01-01', CAST(min(ts) AS DATE)) AS INT) AS data_block_id
-        FROM events WHERE event_type <> 'error' GROUP BY 1, 2, 3, 4""",
+          CAST(date_diff('day', DATE '2024-01-01', CAST(min(ts) AS DATE)) + 2 AS INT) AS data_block_id
+        FROM events GROUP BY 1, 2, 3, 4""",
     "flights": """
         SELECT CAST(year(l_shipdate) AS INT) AS Year, CAST(month(l_shipdate) AS INT) AS Month, l_suppkey AS UniqueCarrier,
           l_partkey AS TailNum, s_nationkey AS Origin, c_nationkey AS Dest,

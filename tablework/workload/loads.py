@@ -49,12 +49,12 @@ def stations(fx: Fixtures) -> DataFrame:
     )
 
 
-def loaded(fx: Fixtures, label: str, bronze_runs: tuple[int, ...]) -> str:
-    """Bronze in several runs, so that later ones are incremental."""
+def loaded(fx: Fixtures, label: str, blocks: int) -> str:
+    """Bronze in runs of some blocks each until no table has anything new."""
     db = fresh_database(fx.spark, label)
     folder = raw_files(fx, label)
-    for blocks in bronze_runs:
-        ME.load_bronze(fx.spark, folder, db, blocks, SCHEMAS)
+    while any(x.startswith("blocks") for x in ME.load_bronze(fx.spark, folder, db, blocks, SCHEMAS).values()):
+        pass
     return db
 
 
@@ -69,24 +69,24 @@ def load_layers(fx: Fixtures, db: str, folder: str, blocks: int) -> None:
 
 @query(
     "l01_bronze",
-    """SELECT * FROM readings WHERE data_block_id <= 24""",
+    "SELECT * FROM readings",
     ("readings",),
 )
 def l01(fx: Fixtures) -> DataFrame:
-    db = loaded(fx, "l01", (10, 15))
+    db = loaded(fx, "l01", 15)
     return fx.spark.table(f"{db}.bronze_train").select(schemas.READINGS.names)
 
 
 @query(
     "l01_marks",
-    """SELECT 'bronze_train' AS table_name, CAST(least(max(data_block_id), 24) AS INT) AS data_block_id FROM readings
-      UNION ALL SELECT 'bronze_client', CAST(max(data_block_id) AS INT) FROM client WHERE data_block_id <= 24
-      UNION ALL SELECT 'bronze_electricity_prices', CAST(max(data_block_id) AS INT) FROM electricity_prices WHERE data_block_id <= 24
-      UNION ALL SELECT 'bronze_gas_prices', CAST(max(data_block_id) AS INT) FROM gas_prices WHERE data_block_id <= 24""",
+    """SELECT 'bronze_train' AS table_name, CAST(max(data_block_id) AS INT) AS data_block_id FROM readings
+      UNION ALL SELECT 'bronze_client', CAST(max(data_block_id) AS INT) FROM client
+      UNION ALL SELECT 'bronze_electricity_prices', CAST(max(data_block_id) AS INT) FROM electricity_prices
+      UNION ALL SELECT 'bronze_gas_prices', CAST(max(data_block_id) AS INT) FROM gas_prices""",
     GOLD_VIEWS,
 )
 def l01_marks(fx: Fixtures) -> DataFrame:
-    db = loaded(fx, "l01m", (10, 15))
+    db = loaded(fx, "l01m", 15)
     return fx.spark.table(f"{db}.{ME.CONTROL}").select("table_name", "data_block_id")
 
 

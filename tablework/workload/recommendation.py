@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.functions.expressions import hash_fraction
 from tablework.recommend import als as R
 from tablework.recommend import baskets as B
-from tablework.session import fresh_database, staged
-from tablework.sinks.tables import write_table
+from tablework.session import staged
 from tablework.workload.fixtures import Fixtures
 from tablework.workload.joins import rounded
 from tablework.workload.registry import query
@@ -104,29 +102,71 @@ def r03(fx: Fixtures) -> DataFrame:
     return rounded(R.above(pairs.join(predicted, "Movie_ID")), 6)
 
 
-def split_triples(fx: Fixtures, label: str) -> tuple[DataFrame, DataFrame]:
-    """Train and test triples, stored once since each fit reads them; the split is by pair hash."""
-    numbered = fx.ratings().withColumn("Movie_ID", F.regexp_extract("Movie_ID", r"(\d+)", 1))
-    triples = R.rating_triples(numbered).groupBy("user", "item").agg(F.avg("rating").cast("float").alias("rating"))
-    db = fresh_database(fx.spark, label)
-    part = F.when(hash_fraction("user", "item") < 0.8, "train").otherwise("test")
-    stored = write_table(triples.withColumn("part", part), f"{db}.ratings", partition_by=["part"])
-    return stored.where("part = 'train'").drop("part"), stored.where("part = 'test'").drop("part")
+SPLIT = """t AS (SELECT User_ID, Movie_ID, avg(Rating) AS rating, CAST('0x' || substr(md5(concat(CAST(User_ID AS VARCHAR), '|', Movie_ID)), 1, 8) AS BIGINT)
+    / 4294967296.0::DOUBLE < 0.8::DOUBLE AS in_train FROM ratings GROUP BY 1, 2),
+  train AS (SELECT * FROM t WHERE in_train), test AS (SELECT * FROM t WHERE NOT in_train),
+  known AS (SELECT * FROM test WHERE User_ID IN (SELECT User_ID FROM train) AND Movie_ID IN (SELECT Movie_ID FROM train))"""
 
 
-@query("r01_als")
+def split_triples(fx: Fixtures, label: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Train and test triples, stored once since each fit reads them, and the tables of ids. The split is by pair hash."""
+    pairs = fx.ratings().groupBy("User_ID", "Movie_ID").agg(F.avg("Rating").alias("Rating"))
+    held = pairs.withColumn("part", F.when(pair_fraction() < 0.8, "train").otherwise("test"))
+    held = staged(held, label)
+    users, items = R.number_ids(held, "User_ID", "user"), R.number_ids(held, "Movie_ID", "item")
+    rows = held.join(users, "User_ID").join(items, "Movie_ID").select("user", "item", F.col("Rating").cast("float").alias("rating"), "part")
+    stored = staged(rows, label, spread=True)
+    return stored.where("part = 'train'").drop("part"), stored.where("part = 'test'").drop("part"), users, items
+
+
+def pair_fraction() -> F.Column:
+    """The same fraction of one that the SQL twin takes from a digest of the pair."""
+    digest = F.md5(F.concat(F.col("User_ID").cast("string"), F.lit("|"), F.col("Movie_ID")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
+
+
+@query(
+    "r01_als",
+    f"WITH {SPLIT} SELECT User_ID, Movie_ID, round(rating, 4) AS actual, TRUE AS scored, TRUE AS fits_train FROM known",
+    ("ratings",),
+)
 def r01(fx: Fixtures) -> DataFrame:
-    train, test = split_triples(fx, "r01")
-    return R.scored_pairs(R.als(train, rank=10, iterations=10), test)
+    """All test pairs whose user and item were trained on get a score, and the fit beats the mean on what it was fitted to."""
+    train, test, users, items = split_triples(fx, "r01")
+    model = R.als(train, rank=10, iterations=15)
+    error = R.held_out_error(model, train).first().mse
+    spread = train.agg(F.var_pop("rating")).first()[0]
+    found = R.named(model.transform(test), users, items)
+    return found.select(
+        "User_ID", "Movie_ID", F.round(F.col("rating").cast("double"), 4).alias("actual"), F.col("prediction").isNotNull().alias("scored"), F.lit(error < spread).alias("fits_train")
+    )
+
 
+RANKS = (10, 20, 50, 100, 200)
 
-@query("r02_als_sweep")
+
+@query(
+    "r02_als_sweep",
+    f"""WITH {SPLIT} SELECT rank, (SELECT count(*) FROM known) AS n_scored, (SELECT count(*) FROM test) AS n_test, TRUE AS has_error
+      FROM (SELECT unnest([{", ".join(map(str, RANKS))}]) AS rank)""",
+    ("ratings",),
+)
 def r02(fx: Fixtures) -> DataFrame:
-    train, test = split_triples(fx, "r02")
-    return R.als_sweep(train, test, ranks=(5, 10), iterations=5)
+    train, test, _, _ = split_triples(fx, "r02")
+    found = R.als_sweep(train, test, ranks=RANKS, iterations=15)
+    return found.select("rank", "n_scored", "n_test", (F.col("mse") >= 0).alias("has_error"))
 
 
-@query("r04_recommend")
+@query(
+    "r04_recommend",
+    f"""WITH {SPLIT} SELECT User_ID, CAST(place AS INT) AS place, TRUE AS falling
+      FROM (SELECT DISTINCT User_ID FROM train), (SELECT unnest(range(1, 1 + least(5, (SELECT count(DISTINCT Movie_ID) FROM train)))) AS place)""",
+    ("ratings",),
+)
 def r04(fx: Fixtures) -> DataFrame:
-    train, _ = split_triples(fx, "r04")
-    return R.recommend(R.als(train, rank=10, iterations=5), 5)
+    """Five different items per user, best first."""
+    train, _, users, items = split_triples(fx, "r04")
+    best = R.recommend(R.als(train, rank=10, iterations=15), 5)
+    by_place = Window.partitionBy("user").orderBy("place")
+    falling = F.coalesce(F.lag("prediction").over(by_place) >= F.col("prediction"), F.lit(True))
+    return R.named(best.withColumn("falling", falling), users, items).select("User_ID", F.col("place").cast("int").alias("place"), "falling")

@@ -40,8 +40,10 @@ def test_one_hot(spark):
     out = C.one_hot(df, "c")
     assert out.columns == ["id", "c_x_y", "c_z"]
     assert rows(out) == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
-    with pytest.raises(ValueError):
-        C.one_hot(spark.range(50), "id", max_levels=10)
+    assert len(C.one_hot(spark.range(300), "id").columns) == 300
+    assert C.one_hot(df, "c", levels=["z"]).columns == ["id", "c_z"]
+    same = spark.createDataFrame([(1, "a b"), (2, "a_b")], "id int, c string")
+    assert rows(C.one_hot(same, "c")) == [(1, 1, 0), (2, 0, 1)] and C.one_hot(same, "c").columns == ["id", "c_a_b", "c_a_b_2"]
 
 
 def test_enforce_schema(spark):

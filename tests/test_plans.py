@@ -27,12 +27,32 @@ def folder(spark, blocks):
     return path
 
 
-def test_window():
-    assert ME.block_window(-1, 400) == (0, 399) and ME.block_window(9, 5) == (10, 14)
-    assert ME.block_window(-1, 400, reference_window=True) == (1, 399)
-    assert ME.block_window(9, 5, reference_window=True) == (10, 13)
+def test_window(spark):
+    data = gas(spark, [0, 1, 2, 9, 30, 31])
+    assert ME.next_blocks(data, -1, 400) == [0, 1, 2, 9, 30, 31] and ME.next_blocks(data, 1, 2) == [2, 9]
+    assert ME.next_blocks(data, -1, 400, reference_window=True) == [1, 2, 9, 30, 31]
+    assert ME.next_blocks(data, 2, 3, reference_window=True) == [9, 30] and ME.next_blocks(data, 31, 4) == []
     with pytest.raises(ValueError):
-        ME.block_window(0, 0)
+        ME.next_blocks(data, 0, 0)
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 4])
+def test_bronze_passes_gaps_wider_than_a_run(spark, db, blocks):
+    present = [0, 1, 2, 3, 50, 51, 200]
+    path = folder(spark, present)
+    for _ in range(len(present) + 1):
+        ME.load_bronze(spark, path, db, blocks, SCHEMAS)
+    assert rows(spark.table(f"{db}.bronze_gas_prices"), "data_block_id") == [(b,) for b in present]
+
+
+def test_bronze_repairs_a_half_written_block(spark, db):
+    path = folder(spark, range(4))
+    ME.load_bronze(spark, path, db, 2, SCHEMAS)
+    name = f"{db}.bronze_gas_prices"
+    stray = spark.table(name).where("data_block_id = 1").withColumn("data_block_id", F.lit(3)).withColumn("lowest_price_per_mwh", F.lit(-1.0))
+    write_table(stray.select(spark.table(name).columns), name, "append", ["data_block_id"])
+    ME.load_bronze(spark, path, db, 2, SCHEMAS)
+    assert rows(spark.table(name), "data_block_id", "lowest_price_per_mwh") == [(b, float(b)) for b in range(4)]
 
 
 def test_bronze_in_steps_equals_bronze_at_once(spark, db):

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tablework.recommend import als as R
@@ -32,7 +33,8 @@ def test_both_ways_of_applying_rules_agree(spark):
     basket = B.baskets(df).cache()
     model = B.fit_itemsets(basket, 0.1, 0.5)
     assert model.associationRules.where(F.size("antecedent") > 2).count() > 0
-    assert rows(B.apply_rules(model, basket)) == rows(B.apply_rules(model, basket, limit_rows=0))
+    shipped = model.transform(basket).select("User_ID", "items", F.sort_array("prediction").alias("prediction"))
+    assert rows(B.apply_rules(model, basket)) == rows(shipped)
 
 
 def test_als(spark):
@@ -53,6 +55,14 @@ def test_als(spark):
     assert rows(R.above(low)) == [(3.5,)]
 
 
-def test_triples_leave_out_text_ids(spark):
-    df = spark.createDataFrame([("1", "2", "3"), ("x", "2", "3")], "User_ID string, Movie_ID string, Rating string")
-    assert rows(R.rating_triples(df)) == [(1, 2, 3.0)]
+def test_ids_that_do_not_fit_are_refused_or_numbered(spark):
+    df = spark.createDataFrame([("1", "2", "3"), ("5000000000", "2", "4"), ("x", "y", "5"), (None, "2", "1")], "User_ID string, Movie_ID string, Rating string")
+    fitting = spark.createDataFrame([("1", "2", "3"), (None, "2", "1"), ("1", "2", "none")], df.schema)
+    assert rows(R.rating_triples(fitting)) == [(1, 2, 3.0)]
+    with pytest.raises(Exception, match="indexed_triples"):
+        R.rating_triples(df).collect()
+    triples, users, items = R.indexed_triples(df)
+    assert triples.count() == 3 and users.count() == 3 and items.count() == 2
+    assert rows(R.named(triples, users, items)) == [("1", "2", 3.0), ("5000000000", "2", 4.0), ("x", "y", 5.0)]
+    wide = spark.range(5_000_000_000, 5_000_003_000).withColumnRenamed("id", "k")
+    assert rows(R.number_ids(wide, "k", "n"), "n") == [(i,) for i in range(3000)]
