@@ -24,11 +24,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tablework.llm.common import free_name, groups_of, id_and_text, map_batches, stored
+from tablework.llm.common import free_name, groups_of, id_and_text, map_batches, splitmix, stored
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
+SIMILARITY = 0.8  # of sets of shingles, where near copies are asked for by similarity
+BANDS, ROWS = 24, 4  # a pair that similar shares one of 24 keys of four minima with a probability of 0.999997
+WIDE_RADIUS = 26  # fingerprints of texts that similar differ in about nine bits
 LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 GROUP_BYTES = 1 << 20
 LANES = np.uint64(0x0101010101010101)
@@ -66,20 +69,43 @@ def fingerprints(hashes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def with_fingerprints(docs: DataFrame, name: str, size: int = SHINGLE, text_col: str = "text") -> DataFrame:
-    """All columns of the frame and a fingerprint (64 bits as a signed long) of a text column."""
+def band_keys(hashes: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """Keys of each text: in every band a hash of the smallest values that ``rows`` permutations give its shingles."""
+    out = np.zeros((len(hashes), bands), np.uint64)
+    sizes = np.array([len(h) for h in hashes], np.int64)
+    full = np.flatnonzero(sizes)
+    if not len(full):
+        return out
+    flat = np.concatenate([hashes[i] for i in full])
+    starts = np.cumsum(sizes[full]) - sizes[full]
+    factors = splitmix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
+    for band in range(bands):
+        key = np.full(len(full), band + 1, np.uint64)
+        for factor in factors[band * rows : (band + 1) * rows]:
+            key = splitmix(key ^ np.minimum.reduceat(flat * factor, starts))
+        out[full, band] = key
+    return out
+
+
+def with_fingerprints(docs: DataFrame, name: str, size: int = SHINGLE, text_col: str = "text", keys: str | None = None) -> DataFrame:
+    """All columns of the frame and a fingerprint (64 bits as a signed long) of a text column; band keys too, if named."""
     at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
-            made = [np.empty(0, np.uint64)]
+            made, bands = [np.empty(0, np.uint64)], []
             for a, b in groups_of([len(t) for t in texts], GROUP_BYTES):
-                made.append(fingerprints([shingle_hashes(t, size) for t in texts[a:b]]))
+                hashes = [shingle_hashes(t, size) for t in texts[a:b]]
+                made.append(fingerprints(hashes))
+                if keys:
+                    bands += list(band_keys(hashes, BANDS, ROWS).view(np.int64))
             columns = [*batch.columns, pa.array(np.concatenate(made).view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
+            columns += [pa.array(bands, pa.list_(pa.int64()))] if keys else []
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name, *([keys] if keys else [])])
 
-    return map_batches(docs, run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    added = [StructField(name, LongType()), *([StructField(keys, ArrayType(LongType()))] if keys else [])]
+    return map_batches(docs, run, StructType([*docs.schema.fields, *added]))
 
 
 def fingerprint_documents(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,16 +161,19 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def groups(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+def groups(rows: DataFrame, radius: int = RADIUS, edges: DataFrame | None = None) -> DataFrame:
     """One row per fingerprint of a stored table doc_id, fp: fp, first_id, n_rows, n_first, n_links, root.
 
+    ``edges`` (a, b; stored) are the links; by default those within the radius.
+
     ``first_id`` is the smallest non-null id with that fingerprint, ``n_first`` how many rows have it (of
     all rows, if only null ids do), ``root`` the smallest fingerprint of the group it is linked to.
     """
     per_id = rows.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "n")).alias("best")
     distinct = stored(per_id.groupBy("fp").agg(best, F.sum("n").alias("n_rows")).select("fp", F.col("best.doc_id").alias("first_id"), "n_rows", F.col("best.n").alias("n_first")), "fingerprints")
-    edges = stored(links(distinct.select("fp"), radius), "fingerprint-links")
+    if edges is None:
+        edges = stored(links(distinct.select("fp"), radius), "fingerprint-links")
     degree = edges.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
     linked = stored(components(edges).withColumnRenamed("node", "fp").join(degree, "fp"), "linked")
     found = distinct.join(linked, "fp", "left")
@@ -161,11 +190,60 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near duplicates: of each group the row with the smallest id stays (null ids count as largest)."""
-    name = free_name(docs, "fp")
-    marked = stored(with_fingerprints(docs, name, size, text_col), "marked-documents")
-    per_fp = groups(marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(name).alias("fp")), radius)
+def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """fp, shingles (distinct hashes, sorted). Input: fp, text."""
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in groups_of([len(t) for t in texts], GROUP_BYTES):
+                sets = [np.unique(shingle_hashes(t, size).view(np.int64)) for t in texts[a:b]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], ["fp", "shingles"])
+
+    return map_batches(texts.select("fp", "text"), run, "fp long, shingles array<bigint>")
+
+
+def similar_links(marked: DataFrame, size: int, similarity: float = SIMILARITY, wide_radius: int = WIDE_RADIUS) -> DataFrame:
+    """Links a, b between fingerprints whose texts are at least this similar. ``marked`` is stored: fp, keys, text.
+
+    No radius that the grid can search reaches a similarity of 0.8 (see the README), so the candidates
+    are the grid's and, for each band key, each fingerprint with one head of those that share it: a bucket
+    of any size gives as many pairs as it has members, and each band has heads of its own. The distance of
+    the segment counts bounds the Hamming distance from below and drops pairs before it is computed; the
+    sets of shingles decide.
+    """
+    distinct = stored(marked.select("fp", "keys").dropDuplicates(["fp"]), "fingerprint-keys")
+    member = distinct.where("fp <> 0").select("fp", F.posexplode("keys").alias("band", "key"))
+    head = F.min(F.struct(F.xxhash64("fp", "band").alias("draw"), F.col("fp").alias("head"))).alias("best")
+    heads = stored(member.groupBy("band", "key").agg(head, F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key", "best.head"), "band-heads")
+    starred = member.join(heads, ["band", "key"]).where("fp <> head").select(F.least("fp", "head").alias("a"), F.greatest("fp", "head").alias("b"))
+    pairs = starred.unionByName(links(distinct.select("fp"))).distinct()
+    ones = lambda c, k: F.bit_count(F.shiftrightunsigned(F.col(c), 4 * k).bitwiseAND(F.lit(15)))
+    bound = sum((F.abs(ones("a", k) - ones("b", k)) for k in range(1, 16)), F.abs(ones("a", 0) - ones("b", 0)))
+    pairs = stored(pairs.where((bound <= wide_radius) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= wide_radius)), "candidate-links")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "candidate-fingerprints")
+    texts = marked.join(wanted, "fp", "left_semi").select("fp", "text").groupBy("fp").agg(F.min("text").alias("text"))
+    sets = stored(shingle_sets(texts, size), "candidate-shingles")
+    left, right = (sets.select(F.col("fp").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b")
+    shared = F.size(F.array_intersect("s_a", "s_b"))
+    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b")
+
+
+def keep_one(
+    docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents without near duplicates: of each group the row with the smallest id stays (null ids count as largest).
+
+    Links are fingerprints within the radius or, if a similarity is given, texts at least that similar.
+    """
+    name, keys = free_name(docs, "fp"), free_name(docs, "band_keys")
+    marked = stored(with_fingerprints(docs, name, size, text_col, keys if similarity else None), "marked-documents")
+    edges = None
+    if similarity:
+        own = marked.select(F.col(name).alias("fp"), F.col(keys).alias("keys"), F.col(text_col).alias("text"))
+        edges = stored(similar_links(own, size, similarity), "similar-links")
+    per_fp = groups(marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(name).alias("fp")), radius, edges)
     best = F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "fp", "n_first")).alias("best")
     heads = per_fp.groupBy("root").agg(best).select(F.col("best.fp").alias("head_fp"), F.col("best.first_id").alias("head_id"), F.col("best.n_first").alias("head_rows"))
     heads = stored(heads, "group-heads")

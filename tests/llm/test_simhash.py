@@ -94,3 +94,36 @@ def test_keep_one(spark, docs_of):
 def test_empty(spark, docs_of):
     assert simhash.near_duplicates(docs_of([])).count() == 0
     assert simhash.keep_one(docs_of([])).count() == 0
+
+
+def jaccard(a, b, size=5):
+    x, y = (set(simhash.shingle_hashes(t, size).tolist()) for t in (a, b))
+    return len(x & y) / max(1, len(x | y))
+
+
+def test_keep_one_by_similarity(spark, docs_of):
+    draw = random.Random(17)
+    rows, groups = [], []
+    for g in range(25):
+        base = [f"w{draw.randint(0, 10**6)}" for _ in range(draw.randint(60, 300))]
+        members = [" ".join(base)]
+        for _ in range(g % 4):
+            copy = list(base)
+            for _ in range(draw.randint(1, 3)):
+                copy[draw.randrange(len(copy))] = "x"
+            members.append(" ".join(copy))
+        members.append(" ".join(base[: len(base) // 2] + [f"v{draw.randint(0, 10**6)}" for _ in base]))  # half of it only
+        groups.append([])
+        for t in members:
+            groups[-1].append((len(rows), t))
+            rows.append((len(rows), t))
+    kept = {r.doc_id for r in simhash.keep_one(docs_of(rows), size=5, similarity=0.8).collect()}
+    for members in groups:
+        label = {i: i for i, _ in members}
+        for i, a in members:
+            for j, b in members:
+                if j < i and jaccard(a, b) >= 0.8:
+                    old, new = label[i], label[j]
+                    label = {k: min(old, new) if v in (old, new) else v for k, v in label.items()}
+        assert {i for i, _ in members if i in kept} == set(label.values())
+    assert len(kept) < len(rows) - 20
