@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.expressions import hash_fraction
 from tablework.ml.features import assemble
+from tablework.operators.clean import complete_rows
 from tablework.session import ensure_checkpoint_dir
 
 
@@ -142,6 +144,81 @@ def path_table(df: DataFrame, model: CrossValidatorModel) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "lambda double, mse double")
 
 
+def fold_products(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Means of the columns, and per ``fold`` the sums of products of (1, columns minus their means). Two aggregations."""
+    means = np.array(df.agg(*[F.avg(c).alias(f"c{i}") for i, c in enumerate(cols)]).first(), float)
+    centred = [F.lit(1.0), *[F.col(c) - F.lit(float(m)) for c, m in zip(cols, means)]]
+    pairs = [(i, j) for i in range(len(centred)) for j in range(i, len(centred))]
+    out = {}
+    for row in df.groupBy("fold").agg(*[F.sum(centred[i] * centred[j]).alias(f"p{i}_{j}") for i, j in pairs]).collect():
+        s = np.zeros((len(centred), len(centred)))
+        for (i, j), v in zip(pairs, row[1:]):
+            s[i, j] = s[j, i] = v
+        out[row[0]] = s
+    return means, out
+
+
+def shrunk(s: np.ndarray, mix: float, lambdas: Sequence[float], steps: int = 1000, close: float = 1e-10) -> list[np.ndarray]:
+    """Coefficients (intercept first, in centred columns, the label last in ``s``) per penalty, from sums of products.
+
+    Columns and label are scaled by their deviations, as MLlib does; coordinate descent starts from the
+    penalty before, so a falling path needs few steps.
+    """
+    n, mean = s[0, 0], s[0, 1:] / s[0, 0]
+    cov = s[1:, 1:] / n - np.outer(mean, mean)
+    sd = np.sqrt(np.diag(cov))
+    scale = np.where(sd > 0, sd, 1.0)
+    corr = cov / np.outer(scale, scale)
+    r, target, beta, out = corr[:-1, :-1], corr[:-1, -1], np.zeros(len(sd) - 1), []
+    for reg in lambdas:
+        weight = reg / scale[-1]
+        for _ in range(steps):
+            before = beta.copy()
+            for j in range(len(beta)):
+                if sd[j] > 0:
+                    z = target[j] - r[j] @ beta + r[j, j] * beta[j]
+                    beta[j] = np.sign(z) * max(abs(z) - mix * weight, 0.0) / (r[j, j] + (1 - mix) * weight)
+            if np.abs(beta - before).max() < close:
+                break
+        raw = beta * scale[-1] / scale[:-1]
+        out.append(np.concatenate([[mean[-1] - raw @ mean[:-1]], raw]))
+    return out
+
+
+def penalised_path(
+    df: DataFrame,
+    label: str,
+    features: Sequence[str],
+    mix: float,
+    lambdas: Sequence[float] | None = None,
+    folds: int = 10,
+    keys: Sequence[str] = (),
+    points: int = 100,
+    ratio: float = 1e-4,
+) -> DataFrame:
+    """Cross-validated error per penalty for ridge (``mix=0``), lasso (``mix=1``) or between: lambda, mse.
+
+    All fits and errors follow from one table of sums of products per fold, so the data are read twice,
+    however long the path is. By default the path has ``points`` penalties that fall from the smallest one
+    that removes every feature (for a mix of at least 0.001) to ``ratio`` times it.
+    """
+    data = with_fold(complete_rows(df.select(*keys, label, *features)), keys, folds)
+    _, products = fold_products(data, [*features, label])
+    total = sum(products.values())
+    if lambdas is None:
+        n, mean = total[0, 0], total[0, 1:] / total[0, 0]
+        cov = total[1:, 1:] / n - np.outer(mean, mean)
+        top = np.abs(cov[:-1, -1] / np.sqrt(np.diag(cov)[:-1])).max() / max(mix, 1e-3)
+        lambdas = [float(x) for x in top * np.geomspace(1, ratio, points)]
+    falling = sorted(lambdas, reverse=True)
+    errors = np.zeros((len(products), len(falling)))
+    for k, held in enumerate(products.values()):
+        for x, b in enumerate(shrunk(total - held, mix, falling)):
+            gap = np.concatenate([-b, [1.0]])  # label minus intercept minus features
+            errors[k, x] = gap @ held @ gap / held[0, 0]
+    return df.sparkSession.createDataFrame([(x, float(e)) for x, e in zip(falling, errors.mean(0))], "lambda double, mse double")
+
+
 def tree(df: DataFrame, label: str, features: Sequence[str], depth: int = 5) -> DecisionTreeRegressionModel:
     data = assemble(df.select(label, *features), label, features)
     return DecisionTreeRegressor(labelCol=label, maxDepth=depth, maxBins=64).fit(data)

@@ -53,11 +53,13 @@ def m03(fx: Fixtures) -> DataFrame:
     return train.select(F.lit("train").alias("part"), "*").unionByName(test.select(F.lit("test").alias("part"), "*"))
 
 
-@query("m03_random_split", "SELECT count(*) AS n_rows FROM orders")
+@query("m03_random_split", "SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_distinct, TRUE AS fits_weights FROM orders")
 def m03_random(fx: Fixtures) -> DataFrame:
-    """The random parts together hold every row once."""
+    """The random parts hold every row once, without overlap, and about in the proportion of the weights."""
     a, b = FE.random_split(fx.table("orders").select("o_orderkey"), [0.3, 0.05], 42)
-    return a.unionByName(b).distinct().agg(F.count(F.lit(1)).alias("n_rows"))
+    both = a.withColumn("first", F.lit(1)).unionByName(b.withColumn("first", F.lit(0)))
+    share = F.abs(F.avg("first") - 0.3 / 0.35) < 0.03
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderkey").alias("n_distinct"), share.alias("fits_weights"))
 
 
 @query(
@@ -238,16 +240,27 @@ def house_rows(fx: Fixtures) -> DataFrame:
 HOUSE_FEATURES = ["sqft_living", "sqft_lot", "sqft_basement", "grade"]
 
 
-@query("m13_ridge")
+PATH_SQL = "SELECT CAST(100 AS BIGINT) AS points, TRUE AS falls, TRUE AS best_within_path, count(*) > 0 AS top_is_mean FROM houses"
+
+
+def path_facts(fx: Fixtures, mix: float) -> DataFrame:
+    """A hundred penalties and ten folds: the path falls, its best point is no worse than its top, where nothing but the mean is left."""
+    rows = house_rows(fx)
+    path = RG.penalised_path(rows, "price_num", HOUSE_FEATURES, mix, keys=["id"])
+    spread = rows.agg(F.var_pop("price_num")).first()[0]
+    best, top = F.min("mse"), F.max_by("mse", "lambda")
+    facts = path.agg(F.count(F.lit(1)).alias("points"), F.max("lambda").alias("hi"), F.min("lambda").alias("lo"), best.alias("best"), top.alias("top"))
+    return facts.select("points", (F.col("hi") > F.col("lo")).alias("falls"), (F.col("best") <= F.col("top")).alias("best_within_path"), (F.abs(F.col("top") / spread - 1) < 0.02).alias("top_is_mean"))
+
+
+@query("m13_ridge", PATH_SQL, ("houses",))
 def m13_ridge(fx: Fixtures) -> DataFrame:
-    best = RG.regularized_path(house_rows(fx), "price_num", HOUSE_FEATURES, 0.0, (0.0, 10.0, 1000.0), folds=3, keys=["id"])
-    return RG.path_table(fx.table("region"), best)
+    return path_facts(fx, 0.0)
 
 
-@query("m13_lasso")
+@query("m13_lasso", PATH_SQL, ("houses",))
 def m13_lasso(fx: Fixtures) -> DataFrame:
-    best = RG.regularized_path(house_rows(fx), "price_num", HOUSE_FEATURES, 1.0, (0.0, 10.0, 1000.0), folds=3, keys=["id"])
-    return RG.path_table(fx.table("region"), best)
+    return path_facts(fx, 1.0)
 
 
 @query("m14_tree")

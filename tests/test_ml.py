@@ -116,7 +116,7 @@ def test_influence(frame, data):
     assert np.allclose(got.std_residual, (e / np.sqrt(s2 * (1 - h)))[order])
 
 
-def test_tails():
+def test_tails(spark):
     assert math.isclose(D.chi2_tail(3.841458820694124, 1), 0.05, rel_tol=1e-9)
     assert math.isclose(D.chi2_tail(18.307038053275146, 10), 0.05, rel_tol=1e-9)
     assert math.isclose(D.student_tail(2.2281388519649385, 10), 0.05, rel_tol=1e-9)
@@ -210,3 +210,17 @@ def test_binary_metrics(spark):
     got = ME.binary_metrics(df).first()
     assert math.isclose(got.auroc, auc, rel_tol=1e-9) and math.isclose(got.f1, 2 * tp / (2 * tp + fp + fn), rel_tol=1e-9)
     assert ME.binary_metrics(df, threshold=2.0).first().f1 == 0.0
+
+
+def test_penalised_path_equals_cross_validation_by_mllib(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3)) * [1, 5, 0.2] + [0, 100, 3]
+    data = [(i, *map(float, r), float(r @ [2, -0.5, 4] + rng.normal())) for i, r in enumerate(x)]
+    frame = spark.createDataFrame(data, "k int, a double, b double, c double, y double")
+    penalties = [0.01, 0.5, 2.0]
+    for mix in (0.0, 0.5, 1.0):
+        mine = dict(rows(RG.penalised_path(frame, "y", ["a", "b", "c"], mix, penalties, folds=3, keys=["k"])))
+        theirs = dict(rows(RG.path_table(frame, RG.regularized_path(frame, "y", ["a", "b", "c"], mix, penalties, folds=3, keys=["k"]))))
+        assert all(math.isclose(mine[p], theirs[p], rel_tol=1e-3) for p in penalties), (mix, mine, theirs)
+    path = rows(RG.penalised_path(frame, "y", ["a", "b", "c"], 1.0, keys=["k"]))
+    assert len(path) == 100 and math.isclose(path[0][0] / path[-1][0], 1e-4, rel_tol=1e-6)
