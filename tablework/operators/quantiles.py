@@ -31,7 +31,7 @@ def exact_quantiles(
     ``buffer`` values lie between, the next pass holds these, and the rank is read off. All aggregates
     combine before their shuffle, so a hot group costs no more than others.
     """
-    keys, probs = list(keys), sorted(probs)
+    keys, probs, accuracy = list(keys), sorted(probs), max(accuracy, 10 * GRID)  # a sketch must be finer than its steps
     targets = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
     facts = df.select(*keys, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
     steps = [k / GRID for k in range(GRID + 1)]
