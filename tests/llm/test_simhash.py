@@ -127,3 +127,16 @@ def test_keep_one_by_similarity(spark, docs_of):
                     label = {k: min(old, new) if v in (old, new) else v for k, v in label.items()}
         assert {i for i, _ in members if i in kept} == set(label.values())
     assert len(kept) < len(rows) - 20
+
+
+def test_copies_that_only_their_original_links(spark, docs_of):
+    draw = random.Random(23)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        copy = list(base)
+        for k in draw.sample(range(6, 294, 6), 5):  # far enough apart that no shingle holds two of them
+            copy[k] = f"x{i}-{k}"
+        rows.append((i, " ".join(copy)))
+    assert all(jaccard(rows[0][1], t) >= 0.8 for _, t in rows) and jaccard(rows[1][1], rows[2][1]) < 0.8
+    assert [r.doc_id for r in simhash.keep_one(docs_of(rows), size=5, similarity=0.8).collect()] == [0]
