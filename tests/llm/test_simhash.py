@@ -140,3 +140,12 @@ def test_copies_that_only_their_original_links(spark, docs_of):
         rows.append((i, " ".join(copy)))
     assert all(jaccard(rows[0][1], t) >= 0.8 for _, t in rows) and jaccard(rows[1][1], rows[2][1]) < 0.8
     assert [r.doc_id for r in simhash.keep_one(docs_of(rows), size=5, similarity=0.8).collect()] == [0]
+
+
+def test_repeated_lines_do_not_make_unlike_pages_one(spark, docs_of):
+    rows = []
+    for i in range(4):  # the line fills most of every page, so the pages share their fingerprints
+        rows.append((i, " ".join([*(f"p{i}-{k}" for k in range(50)), *["the same short line here"] * 200])))
+    rows.append((9, rows[3][1] + " the same short line here"))
+    assert len({brute_fingerprint(t, 5) for _, t in rows}) == 1 and jaccard(rows[0][1], rows[1][1]) < 0.1
+    assert sorted(r.doc_id for r in simhash.keep_one(docs_of(rows), size=5, similarity=0.8).collect()) == [0, 1, 2, 3]
