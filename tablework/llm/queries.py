@@ -27,7 +27,7 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents into files of packed ids, read the files back."""
     folder = scratch_dir(spark, "token-ids")
-    simple8b.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    simple8b.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, added_tokens=True)
     read = simple8b.with_starts(simple8b.read_token_files(spark, folder))
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 

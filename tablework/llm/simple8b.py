@@ -159,15 +159,17 @@ class LibraryEncoder(dict):
     """The tokenizers library's byte-level BPE behind a bounded cache of slices.
 
     The library's own model gets each distinct slice; splitting into slices and gluing the ids of slices
-    are done here, since the library spends most of its time on them. Strings of special tokens are
-    ordinary text.
+    are done here, since the library spends most of its time on them. Strings of the file's added tokens
+    are ordinary text or, if ``added``, texts that hold one are left to the library's whole call.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path).model
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added else []
         signs = [*range(33, 127), *range(161, 173), *range(174, 256)]  # octets that byte-level vocabularies write as themselves
         others = [i for i in range(256) if i not in signs]
         self.written = {i: chr(i) for i in signs} | {i: chr(256 + k) for k, i in enumerate(others)}
@@ -179,22 +181,27 @@ class LibraryEncoder(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > CACHE_SLICES:
             self.clear()
-        parts, first = slices(texts)
-        return [b"".join(map(self.__getitem__, parts[a:b])) for a, b in zip(first, first[1:], strict=False)]
+        held = [any(t in text for t in self.added) for text in texts]
+        parts, first = slices(["" if h else text for text, h in zip(texts, held, strict=True)])
+        out = [b"".join(map(self.__getitem__, parts[a:b])) for a, b in zip(first, first[1:], strict=False)]
+        for i in (i for i, h in enumerate(held) if h):
+            out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+        return out
 
 
 @functools.cache
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def library_encoder(path: str, added: bool = False) -> LibraryEncoder:
+    return LibraryEncoder(path, added)
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, file_bytes: int = FILE_BYTES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int, file_bytes: int = FILE_BYTES, id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False
 ) -> None:
     """Encode whole texts and write them in ascending order of their ids, part files in the same order.
 
     The number of files follows the octets of text, so no file outgrows a task; ranges of ids are dealt
-    by a sample of ids, not of texts.
+    by a sample of ids, not of texts. With ``added_tokens`` the tokenizer file's added tokens are found
+    inside texts, as the library does by default.
     """
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
@@ -202,7 +209,7 @@ def write_token_files(
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
 
     def run(batches):
-        encoder = library_encoder(tokenizer)
+        encoder = library_encoder(tokenizer, added_tokens)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             texts, ids = [t or "" for t in batch.column(1).to_pylist()], batch.column(0).to_pylist()

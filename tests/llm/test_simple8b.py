@@ -70,3 +70,23 @@ def test_empty_table(spark, docs_of):
     folder = scratch_dir(spark, "test-ids")
     S.write_token_files(docs_of([]), folder, PATH, end_id=2)
     assert S.with_starts(S.read_token_files(spark, folder)).count() == 0
+
+
+def test_added_tokens_inside_texts_as_the_library_finds_them(spark, docs_of):
+    texts = [(1, "word <|endoftext|> x"), (2, "plain words only"), (3, "<|endoftext|><|endoftext|> a<|endoftext|>\n b"), (4, None), (5, "<|endoftext| >")]
+    tokenizer = Tokenizer.from_file(PATH)
+    folder = scratch_dir(spark, "test-ids")
+    S.write_token_files(docs_of(texts), folder, PATH, end_id=2, added_tokens=True)
+    rows = S.with_starts(S.read_token_files(spark, folder, with_ids=True)).orderBy("start").collect()
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for _, t in texts]
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in rows] == want and 50256 in want[0]
+    assert [r.start for r in rows] == [sum(map(len, want[:i])) for i in range(len(want))]
+
+
+def test_query_finds_added_tokens(spark, docs_of, tmp_path):
+    from tablework.llm import queries
+
+    docs_of([(1, "word <|endoftext|> x"), (2, "y")]).write.parquet(f"{tmp_path}/documents.parquet")
+    ids = [*Tokenizer.from_file(PATH).encode("word <|endoftext|> x", add_special_tokens=False).ids, 2]
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op2_simple8b(spark, str(tmp_path)).collect()}
+    assert found[1] == (0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) and found[2][0] == len(ids)
