@@ -10,7 +10,7 @@
 3. Extend left and right: around each suffix that another document shares, the windows of
    ``MIN_WORDS`` words that begin up to ``WINDOW - 1`` words left of it are hashed, sorted and compared
    in the same way. A window counts only if another document has all of it. Windows that
-   overlap or adjoin are merged to passages.
+   overlap or adjoin are merged to passages, and passages that share a window are one class.
 
 Results in odd cases: null, empty and short texts have no passages; rows that share an id are one
 document, so a repeated row or a passage that repeats inside one document is no repeat; rows with a null
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.common import groups_of, map_batches, splitmix, stored
+from tablework.llm.simhash import components
 
 MIN_WORDS, WINDOW, GRAM = 50, 16, 5
 GROUP_BYTES = 1 << 20
@@ -225,9 +226,11 @@ def window_rows(texts: DataFrame, marked: DataFrame, size: int, min_words: int,
 def repeated_passages(
     docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, start_word, n_words, class_id (hash of the passage's first ``min_words`` words): passages that other documents have too.
+    """doc_id, start_word, n_words, class_id, n_docs: passages that other documents have too.
 
-    Each maximal run of shared windows in a document is one row.
+    Each maximal run of shared windows in a document is one row. Runs that share a window are linked;
+    ``class_id`` names the connected group of runs (by the smallest hash of its windows) and ``n_docs`` is
+    the number of documents in it.
     """
     size = min_words - window + 1
     texts = keyed(docs, id_col, text_col)
@@ -237,13 +240,22 @@ def repeated_passages(
     windows = window_rows(texts, stored(marked, "marked-documents"), size, min_words, window, gram)
     repeated = shared_rows(windows, "shared-windows")
     by_place = Window.partitionBy("doc").orderBy("at", "h")  # one document's windows
-    fresh = F.coalesce(F.col("at") > F.lag("at").over(by_place) + min_words, F.lit(True)).cast("int")
-    runs = repeated.select("doc", "at", "h", fresh.alias("fresh")).select("doc", "at", "h", F.sum("fresh").over(by_place).alias("run"))
-    merged = runs.groupBy("doc", "run").agg(F.min(F.struct("at", "h")).alias("first"), F.max("at").alias("last"))
+    before = F.lag("at").over(by_place)
+    fresh = F.coalesce(F.col("at") > before + min_words, F.lit(True))
+    placed = repeated.select("doc", "at", "h", fresh.alias("fresh"), F.lag("h").over(by_place).alias("h_before"))
+    runs = placed.select("doc", "at", "h", F.sum(F.col("fresh").cast("int")).over(by_place).alias("run"), F.when(~F.col("fresh"), F.col("h_before")).alias("h_before"))
+    runs = stored(runs, "passage-windows")
+    neighbours = runs.where("h_before <> h").select(F.least("h", "h_before").alias("a"), F.greatest("h", "h_before").alias("b")).distinct()
+    of_window = components(stored(neighbours, "window-links"))
+    merged = stored(runs.groupBy("doc", "run").agg(F.min(F.struct("at", "h")).alias("first"), F.max("at").alias("last")), "passages")
+    classed = merged.join(of_window, F.col("first.h") == F.col("node"), "left").select("doc", "first", "last", F.coalesce("root", "first.h").alias("class"))
+    classed = stored(classed, "passage-classes")
+    members = stored(classed.select("class", "doc").distinct().groupBy("class").agg(F.count(F.lit(1)).alias("n_docs")), "class-sizes")
     doc_id = F.when(F.col("doc") >= 0, F.col("doc"))
-    return merged.select(
+    return classed.join(members, "class").select(
         doc_id.alias("doc_id"),
         F.col("first.at").cast("long").alias("start_word"),
         (F.col("last") + min_words - F.col("first.at")).cast("long").alias("n_words"),
-        F.lower(F.hex("first.h")).alias("class_id"),
+        F.lower(F.hex("class")).alias("class_id"),
+        "n_docs",
     )

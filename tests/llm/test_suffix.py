@@ -86,3 +86,45 @@ def test_every_window_has_a_minimiser_near_its_beginning():
     at = suffix.minimisers(words, 16, 5)
     last = len(words) - 50
     assert all((at[np.searchsorted(at, s)] - s) < 16 for s in range(last))
+
+
+def brute_classes(rows, n):
+    """{(doc, start): all (doc, start) of runs linked to it by shared windows}."""
+    words = {d: t.lower().split() for d, t in rows}
+    holders = defaultdict(set)
+    for d, ws in words.items():
+        for s in range(len(ws) - n + 1):
+            holders[tuple(ws[s : s + n])].add(d)
+    run_of, head = defaultdict(list), {}
+    for d, ws in words.items():
+        last = start = None
+        for s in range(len(ws) - n + 1):
+            window = tuple(ws[s : s + n])
+            if len(holders[window]) > 1:
+                start = s if last is None or s > last + n else start
+                last = s
+                run_of[window].append((d, start))
+                head.setdefault((d, start), (d, start))
+    root = lambda x: x if head[x] == x else root(head[x])
+    for runs in run_of.values():
+        for r in runs[1:]:
+            head[root(r)] = root(runs[0])
+    groups = defaultdict(set)
+    for r in head:
+        groups[root(r)].add(r)
+    return {r: groups[root(r)] for r in head}
+
+
+def test_classes_join_all_documents_that_share_text(spark, docs_of):
+    w = [f"w{i}" for i in range(150)]
+    header, footer = [f"p{i}" for i in range(60)], [f"q{i}" for i in range(60)]
+    texts = [w, w[:100], w[50:], header + footer, ["x"] + header, ["y"] + footer, [f"n{i}" for i in range(120)], ["z"] + [f"n{i}" for i in range(30, 90)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in corpus(5) if t and len(t.split()) > 60]
+    want = brute_classes(rows, 50)
+    got = {(r.doc_id, r.start_word): (r.class_id, r.n_docs) for r in suffix.repeated_passages(docs_of(rows)).collect()}
+    members = defaultdict(set)
+    for place, (name, _) in got.items():
+        members[name].add(place)
+    assert {place: members[name] for place, (name, _) in got.items()} == want
+    assert all(n == len({d for d, _ in members[name]}) for name, n in got.values())
+    assert got[0, 0] == got[2, 0] and got[0, 0][1] == 3 and got[4, 1] == got[5, 1] and got[6, 30] == got[7, 1]
