@@ -270,6 +270,12 @@ def sets_of(marked: DataFrame, nodes: DataFrame, size: int, common: tuple[np.nda
     return stored(shingle_sets(texts, size, common), label)
 
 
+def within(similarity: float):
+    """Whether two sets x, y (n, odd) may be that similar: they differ in no fewer members than bins of their parities."""
+    differing = sum((F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("x.odd")[0].bitwiseXOR(F.col("y.odd")[0])))
+    return differing <= (1 - similarity) / (1 + similarity) * (F.col("x.n") + F.col("y.n")) + 1e-6
+
+
 def star_links(marked: DataFrame, distinct: DataFrame, size: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Most links, at little cost: for each band key, each node with one head of those that share it.
 
@@ -280,6 +286,8 @@ def star_links(marked: DataFrame, distinct: DataFrame, size: int, similarity: fl
     head = F.min(F.struct(F.xxhash64("node", "band").alias("draw"), F.col("node").alias("head"))).alias("best")
     heads = stored(member.groupBy("band", "key").agg(head, F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key", "best.head"), "band-heads")
     pairs = member.join(heads, ["band", "key"]).where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    sizes = distinct.select("node", "n", "odd")
+    pairs = pairs.join(sizes.alias("x"), F.col("a") == F.col("x.node")).join(sizes.alias("y"), F.col("b") == F.col("y.node")).where(within(similarity)).select("a", "b")
     pairs = stored(pairs, "candidate-links")
     sets = sets_of(marked, stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes"), size, common, "candidate-shingles")
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
@@ -294,8 +302,8 @@ def links_between(marked: DataFrame, distinct: DataFrame, labels: DataFrame, siz
     Two sets that similar share a member of their prefixes, so the nodes meet there. Members that only
     one group has are left out, so a group that is known to be one makes no pairs however large it is.
     Where nodes meet, the members that can still be shared after that place and the parities bound the
-    similarity; only nodes with a partner within these bounds get their sets, and a pair's sets are
-    compared where it first meets, inside the join, so only links are rows.
+    similarity; only places where a node first meets a partner within these bounds get its set, and the
+    sets are compared inside the join, so only links are rows.
     """
     tokens = marked.select("node", F.posexplode("prefix").alias("at", "h"))
     several = stored(tokens.groupBy("h").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").select("h"), "several-shingles")
@@ -307,19 +315,20 @@ def links_between(marked: DataFrame, distinct: DataFrame, labels: DataFrame, siz
 
     total = F.col("x.n") + F.col("y.n")
     left_over = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    differing = sum((F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("x.odd")[0].bitwiseXOR(F.col("y.odd")[0])))
     may = (
         (F.col("x.h") == F.col("y.h"))
         & (F.col("x.root") != F.col("y.root"))
         & (left_over >= similarity / (1 + similarity) * total - 1e-6)
-        & (differing <= (1 - similarity) / (1 + similarity) * total + 1e-6)
+        & within(similarity)
     )
     close = stored(places.alias("x").join(places.alias("y"), may, "left_semi"), "close-places")
     sets = sets_of(marked, stored(close.select("node").distinct(), "close-nodes"), size, common, "close-shingles")
-    members = stored(close.join(sets, "node"), "close-members")
+    befores = stored(close.join(sets, "node").select(*close.columns, F.slice("shingles", F.lit(1), F.col("at")).alias("before")), "close-prefixes")
+    may = may & ~F.arrays_overlap(F.col("x.before"), F.col("y.before"))
+    firsts = stored(befores.alias("x").join(befores.alias("y"), may, "left_semi"), "first-places")
+    members = stored(firsts.join(sets, "node"), "first-members")
     shared = F.size(F.array_intersect("x.shingles", "y.shingles"))
-    meet_first = ~F.arrays_overlap(F.slice("x.shingles", F.lit(1), F.col("x.at")), F.slice("y.shingles", F.lit(1), F.col("y.at")))
-    found = members.alias("x").join(members.alias("y"), may & (F.col("x.node") < F.col("y.node")) & meet_first & (shared >= similarity * (total - shared)))
+    found = members.alias("x").join(members.alias("y"), may & (F.col("x.node") < F.col("y.node")) & (shared >= similarity * (total - shared)))
     return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 

@@ -149,3 +149,13 @@ def test_repeated_lines_do_not_make_unlike_pages_one(spark, docs_of):
     rows.append((9, rows[3][1] + " the same short line here"))
     assert len({brute_fingerprint(t, 5) for _, t in rows}) == 1 and jaccard(rows[0][1], rows[1][1]) < 0.1
     assert sorted(r.doc_id for r in simhash.keep_one(docs_of(rows), size=5, similarity=0.8).collect()) == [0, 1, 2, 3]
+
+
+def test_repeats_do_not_part_similar_sets(spark, docs_of):
+    rows = []
+    for g in range(12):
+        page = " ".join(f"g{g}-{k}" for k in range(400))
+        rows += [(2 * g, page), (2 * g + 1, " ".join([page, *["a line of five words"] * 200]))]
+    assert all(jaccard(rows[2 * g][1], rows[2 * g + 1][1]) > 0.95 for g in range(12))
+    assert any((brute_fingerprint(rows[2 * g][1], 5) ^ brute_fingerprint(rows[2 * g + 1][1], 5)).bit_count() > 26 for g in range(12))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs_of(rows), size=5, similarity=0.8).collect()) == list(range(0, 24, 2))
