@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, common, cotrain, decontam, pii, ppm, rules, simhash, simple8b, suffix, warc
+from tablework.llm import bpe, common, cotrain, decontam, pii, ppm, rules, runs, simhash, simple8b, suffix, warc
 from tablework.session import scratch_dir
 
 
@@ -80,6 +80,40 @@ def op10_suffix_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, text: in a tenth of the documents, by a checksum of the id, the words from some place on repeat."""
+    check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    texts = docs.select("doc_id", "text", (F.coalesce(check, F.lit(1)) % 10 == 0).alias("chosen"), F.floor(check / 10).alias("g"))
+
+    def repeated(words):
+        n = F.size(words).cast("long")
+        a = F.col("g") % n
+        p = 1 + F.floor((n - a) / (3 + F.col("g") % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        moved = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, place(i).cast("int")))
+        return F.when(n > 0, F.array_join(moved, " ")).otherwise("")
+
+    changed = common.let(common.words_of(F.coalesce("text", F.lit(""))), repeated)
+    return texts.select("doc_id", F.when(F.col("chosen"), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, a tenth of which get repeats planted first."""
+    found = runs.periodic_runs(with_planted_repeats(table(spark, sf_dir, "documents")))
+    best = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_cotraining,
         op10_suffix_passages,
+        op13_periodic_runs,
     )
 }
 
