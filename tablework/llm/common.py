@@ -65,7 +65,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that :func:`stored` wrote. Call it once whatever is built on them is stored itself."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def groups_of(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:

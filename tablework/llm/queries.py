@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, common, cotrain, decontam, pii, ppm, rules, runs, simhash, simple8b, suffix, warc
+from tablework.llm import bpe, collocations, common, cotrain, decontam, pii, ppm, rules, runs, simhash, simple8b, suffix, warc
 from tablework.session import scratch_dir
 
 
@@ -80,6 +80,11 @@ def op10_suffix_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language in all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def with_planted_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text: in a tenth of the documents, by a checksum of the id, the words from some place on repeat."""
     check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_cotraining,
         op10_suffix_passages,
+        op11_collocations,
         op13_periodic_runs,
     )
 }
@@ -156,4 +162,22 @@ SQL: dict[str, str] = {
       SELECT doc_id, item_id, CAST(a AS BIGINT) AS start_word, CAST(b - a AS BIGINT) AS n_words, round(similarity, 6) AS similarity
       FROM scored WHERE similarity >= 0.8
       QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, a) = 1""",
+    "op11_collocations": """WITH
+      d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+      p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS p FROM d),
+      w AS (SELECT lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+      g AS (SELECT lang, k, w[i : i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) s(k))),
+      f AS (SELECT lang, k, g, count(*) AS a FROM g GROUP BY ALL),
+      often AS (SELECT * FROM f WHERE a >= 30),
+      c AS (SELECT lang, k, g, a, unnest(range(1, k)) AS cut FROM often WHERE k >= 2),
+      s AS (SELECT c.*, x.a AS l, y.a AS r, CAST(2000000 * CAST(c.a AS HUGEINT) // (x.a + y.a) AS BIGINT) AS score FROM c
+        JOIN often x ON x.lang = c.lang AND x.g = c.g[1 : cut] JOIN often y ON y.lang = c.lang AND y.g = c.g[cut + 1 : c.k]),
+      b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+      inside AS (SELECT lang, g[i : i + m - 1] AS part, max(a) AS longer FROM
+        (SELECT lang, g, a, k, m, unnest(range(1, k - m + 2)) AS i FROM often, (VALUES (2), (3)) s(m) WHERE k > m) GROUP BY ALL),
+      kept AS (SELECT b.* FROM b LEFT JOIN inside ON inside.lang = b.lang AND inside.part = b.g WHERE longer IS NULL OR 100 * longer < 80 * a),
+      n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+      o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM kept)
+      SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+      FROM o JOIN n USING (lang) QUALIFY rank <= 2000""",
 }
