@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.llm import bpe, collocations, common, cotrain, decontam, pii, ppm, rules, runs, simhash, simple8b, suffix, warc
+from tablework.llm import bpe, collocations, common, cotrain, decontam, pii, ppm, rules, runs, shards, simhash, simple8b, suffix, warc
 from tablework.session import scratch_dir
 
 
@@ -85,6 +85,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of even size in bytes, equal texts together."""
+    found = shards.shard_documents(table(spark, sf_dir, "documents"))
+    return found.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def with_planted_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text: in a tenth of the documents, by a checksum of the id, the words from some place on repeat."""
     check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -133,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_cotraining,
         op10_suffix_passages,
         op11_collocations,
+        op12_label_shards,
         op13_periodic_runs,
     )
 }
