@@ -11,15 +11,16 @@ from pyspark.sql.types import StructType
 from tablework.operators.aggregates import consumption_production, energy_prices_daily, price_stats
 from tablework.operators.clean import complete_rows, prefix_columns
 from tablework.operators.joins import join_shifted, latest_version, new_rows
-from tablework.operators.merge import merge_sync
+from tablework.operators.merge import merge_sync, write_ranged
+from tablework.plans.increments import BLOCK, NO_VALUE, Changes, add_key_ranges, possible_matches
 from tablework.schemas import AUDIT_COLUMNS, SILVER_KEYS
 from tablework.session import staged
-from tablework.sinks.tables import get_watermark, replace_partitions, set_watermark, write_table
+from tablework.sinks.tables import get_watermark, partition_columns, replace_partitions, set_watermark, write_table
 from tablework.sources.files import discover_csv, read_csv, with_ingest_metadata
 from tablework.streaming.copy import stream_copy
 
 CONTROL = "bronze_loading_checkpoint"
-BLOCK = "data_block_id"
+DATE_RANGES = 16  # parts of a daily gold table
 
 
 def next_blocks(data: DataFrame, last: int, blocks: int, reference_window: bool = False) -> list[int]:
@@ -79,28 +80,38 @@ def load_bronze(
     return done
 
 
-def silver_batch(bronze: DataFrame, silver: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """New complete rows for silver: unseen keys, their latest version, audit columns dropped.
-
-    Unseen keys are selected first. That gives the same rows as taking the latest versions first,
-    since both act on whole keys, and leaves less to compare on incremental runs.
-    """
-    unseen = bronze if silver is None else staged(new_rows(bronze, silver, keys), "unseen")  # read twice below
-    newest = latest_version(unseen, keys, "process_timestamp")
-    return complete_rows(newest.drop(*AUDIT_COLUMNS))
-
-
 def load_silver(spark: SparkSession, db: str, table: str, keys: Sequence[str] | None = None) -> int:
     """Append the new rows of one bronze table to its silver table; existing keys stay as they are.
 
-    Returns the row count of the silver table afterwards.
+    Only blocks of bronze whose files have changed since the last load are read, and only the part of silver that can
+    hold their keys. A key whose latest row is incomplete is kept aside with its time, so that
+    a later row of it is compared with that one although its block is not read again. Returns the row count of the
+    silver table afterwards.
     """
-    keys = keys or SILVER_KEYS[table]
-    bronze, name = spark.table(f"{db}.bronze_{table}"), f"{db}.silver_{table}"
-    silver = spark.table(name) if spark.catalog.tableExists(name) else None
-    batch = silver_batch(bronze, silver, keys)
+    keys, name, held_name = list(keys or SILVER_KEYS[table]), f"{db}.silver_{table}", f"{db}.silver_{table}_incomplete"
+    changes = Changes(spark, db, f"bronze_{table}", f"silver_{table}")
+    if not changes.any():
+        return spark.table(name).count()
+    fresh = changes.rows()
+    silver = possible_matches(spark, db, table, fresh, keys, changes)
+    unseen = fresh if silver is None else new_rows(fresh, silver, keys)
+    newest = staged(latest_version(staged(unseen, "unseen"), keys, "process_timestamp"), "newest")
+    if changes.blocks is not None:
+        if spark.catalog.tableExists(held_name):
+            held = spark.table(held_name).groupBy(*keys).agg(F.max("process_timestamp").alias("_held"))
+            newest = newest.join(held, keys, "left").where(F.coalesce(F.col("process_timestamp") >= F.col("_held"), F.lit(True))).drop("_held")
+        value = F.lit(True)
+        for c in newest.columns:
+            value = value & (F.col(c).isNotNull() if c not in AUDIT_COLUMNS else F.lit(True))
+        incomplete = staged(complete_rows(newest.where(~value).select(*keys, "process_timestamp").distinct(), keys), "incomplete")
+        if incomplete.limit(1).count():
+            write_table(incomplete, held_name, "append")
+    batch = complete_rows(newest.drop(*AUDIT_COLUMNS))
+    if changes.blocks is not None:
+        add_key_ranges(batch, db, table, keys[0])
     columns = [c for c in batch.columns if c != BLOCK] + [BLOCK]
     write_table(batch.select(columns), name, "append", [BLOCK])
+    changes.remember()
     return spark.table(name).count()
 
 
@@ -131,36 +142,107 @@ def build_gold_features(
     return out.join(c, on, "left")
 
 
+def dates_of(changes: Changes, ts: str, shift: int = 0) -> DataFrame:
+    """The dates of the rows in the changed blocks."""
+    return changes.rows().select(F.date_add(F.to_date(ts), shift).alias("date")).where("date is not null")
+
+
+def on_dates(df: DataFrame, ts: str, dates: Sequence, shift: int = 0) -> DataFrame:
+    """The rows on some dates. The first and last of them bound the scan."""
+    if not dates:
+        return df.limit(0)
+    low, high = F.lit(min(dates)), F.date_add(F.lit(max(dates)), 1 - shift)
+    bounded = df.where((F.col(ts) >= F.date_add(low, -shift).cast(df.schema[ts].dataType)) & (F.col(ts) < high.cast(df.schema[ts].dataType)))
+    return bounded.where(F.date_add(F.to_date(ts), shift).isin(list(dates)))
+
+
+def merge_dates(spark: SparkSession, name: str, source: DataFrame, column: str, dates: Sequence | None) -> dict[str, int]:
+    """Merge a daily table, which is kept in ranges of dates: all of it, or the given dates alone."""
+    if not spark.catalog.tableExists(name):
+        write_ranged(source, name, column, DATE_RANGES)
+        return {"insert": spark.table(name).count(), "update": 0, "keep": 0, "delete": 0}
+    scope = None if dates is None else F.col(column).isin(list(dates))
+    return merge_sync(spark, name, source, [column], unique_checked=True, scope=scope)
+
+
 def load_gold(spark: SparkSession, db: str, checkpoint: str, dataset: str = "train", grain: str = "day") -> dict[str, object]:
-    """All gold tables: features, price aggregate, consumption aggregate and the streamed copy."""
+    """All gold tables: features, price aggregate, consumption aggregate and the streamed copy.
+
+    What has changed in silver since the last load decides what is computed. The dates of new readings and prices
+    are aggregated again and merged alone. Features are kept by the block of their readings: blocks with a
+    reading on a date for which a reading, price or client state is new are built again, all others stay.
+    Daily tables have a last column ``key_range``, the part that a merge rewrites.
+    """
 
     def silver(t: str) -> DataFrame:
         return spark.table(f"{db}.silver_{t}")
 
+    def changed(t: str) -> Changes:
+        return Changes(spark, db, f"silver_{t}", f"gold_{dataset}_{t}")
+
+    def listed(dates: DataFrame) -> list:
+        return [r.date for r in dates.distinct().orderBy("date").collect()]  # a calendar, not rows
+
     done: dict[str, object] = {}
+    prices = {t: changed(t) for t in ("gas_prices", "electricity_prices")}
+    facts = changed(dataset)
+    inputs = [*prices.values(), facts]
     if dataset == "train":
-        features = build_gold_features(
-            silver(dataset), silver("gas_prices"), silver("electricity_prices"), silver("client"), grain, dataset
-        )
-        write_table(features, f"{db}.gold_all_features")
-        done["gold_consumption_production_aggregate"] = merge_sync(
-            spark,
-            f"{db}.gold_consumption_production_aggregate",
-            consumption_production(silver(dataset)),
-            ["date"],
-            unique_checked=True,
-        )
-    done["gold_energy_prices_aggregate"] = merge_sync(
-        spark,
-        f"{db}.gold_energy_prices_aggregate",
-        energy_prices_daily(silver("electricity_prices"), silver("gas_prices")),
-        ["forecast_date"],
-        unique_checked=True,
-    )
+        client = changed("client")
+        inputs.append(client)
+        target = f"{db}.gold_consumption_production_aggregate"
+        dates = None if facts.all else listed(dates_of(facts, "datetime"))
+        if dates is None or dates:
+            rows = silver(dataset) if dates is None else on_dates(silver(dataset), "datetime", dates)
+            done["gold_consumption_production_aggregate"] = merge_dates(spark, target, consumption_production(rows), "date", dates)
+        if any(c.any() for c in inputs):
+            features_of(spark, db, dataset, grain, facts, prices, client, listed)
+    target = f"{db}.gold_energy_prices_aggregate"
+    whole = any(c.all for c in prices.values())
+    new = [dates_of(c, "forecast_date") for c in prices.values() if c.any()]
+    dates = None if whole else listed(new[0].unionByName(new[-1])) if new else []
+    if dates is None or dates:
+        e, g = (silver(t) if whole else on_dates(silver(t), "forecast_date", dates) for t in ("electricity_prices", "gas_prices"))
+        done["gold_energy_prices_aggregate"] = merge_dates(spark, target, energy_prices_daily(e, g), "forecast_date", dates)
     stream_copy(spark, f"{db}.silver_{dataset}", checkpoint, f"{db}.gold_{dataset}")
+    for c in inputs:
+        c.remember()
     return done
 
 
+def features_of(spark: SparkSession, db: str, dataset: str, grain: str, facts: Changes, prices: Mapping[str, Changes], client: Changes, listed) -> None:
+    """Build the features of the blocks that the changes reach; all of them at first."""
+
+    def silver(t: str) -> DataFrame:
+        return spark.table(f"{db}.silver_{t}")
+
+    name, block = f"{db}.gold_all_features", f"{dataset}_{BLOCK}"
+    dims = {"gas_prices": ("forecast_date", 1), "electricity_prices": ("forecast_date", 1), "client": ("date", 0)}
+    whole = facts.all or not spark.catalog.tableExists(name) or partition_columns(spark, name) != [block]
+    tables = {t: silver(t) for t in dims}
+    readings = silver(dataset)
+    if not whole:
+        changed = {**prices, "client": client}
+        late = None
+        for t, (ts, shift) in dims.items():
+            if changed[t].any():
+                own = dates_of(changed[t], ts, shift)
+                late = own if late is None else late.unionByName(own)
+        dates = listed(late) if late is not None else []
+        blocks = {int(b) for b in facts.blocks if b != NO_VALUE}
+        blocks |= {r[0] for r in on_dates(readings, "datetime", dates).select(BLOCK).distinct().collect()}  # one row per block
+        if not blocks:
+            return
+        readings = readings.where(F.col(BLOCK).isin(sorted(blocks)))
+        reached = listed(readings.select(F.to_date("datetime").alias("date")).where("date is not null"))
+        tables = {t: on_dates(tables[t], ts, reached, shift) for t, (ts, shift) in dims.items()}
+    features = build_gold_features(readings, tables["gas_prices"], tables["electricity_prices"], tables["client"], grain, dataset)
+    if whole:
+        write_table(features, name, "overwrite", [block])
+    else:
+        replace_partitions(features, name, [block])
+
+
 def load_price_aggregates(spark: SparkSession, db: str) -> dict[str, object]:
     """The older gold tables: electricity and gas statistics apart, by the raw forecast date."""
     electricity = price_stats(

@@ -46,6 +46,16 @@ READINGS = table(
     "datetime timestamp_ntz",
     "data_block_id int",
 )
+UNSCORED = table(
+    "row_id bigint",
+    "prediction_unit_id bigint",
+    "county int",
+    "is_business int",
+    "product_type int",
+    "is_consumption int",
+    "prediction_datetime timestamp_ntz",
+    "data_block_id int",
+)
 CLIENT = table(
     "product_type int",
     "county int",
@@ -107,7 +117,7 @@ CONTROL = table(
     "load_timestamp timestamp not null",
 )
 
-# Keys that identify one version of a row in each silver table.
+# Keys that identify one version of a row in each silver table.
 SILVER_KEYS = {
     "client": ["product_type", "county", "eic_count", "installed_capacity", "is_business", "date", "data_block_id"],
     "electricity_prices": ["forecast_date", "origin_date", "data_block_id"],

@@ -65,6 +65,38 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == key).collect()
+    return found[0]["value"] if found else None
+
+
+def partition_states(spark: SparkSession, name: str, column: str) -> dict[str, str]:
+    """For each value of a table's only partition column a text that changes when its files do. Reads the listing alone."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(location_of(spark, name))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    found: dict[str, list[int]] = {}
+    while files.hasNext():
+        status = files.next()
+        folder, file = status.getPath().getParent().getName(), status.getPath().getName()
+        if folder.startswith(f"{column}=") and not file.startswith(("_", ".")):
+            state = found.setdefault(folder.removeprefix(f"{column}="), [0, 0, 0])
+            state[0] += 1
+            state[1] += status.getLen()
+            state[2] = max(state[2], status.getModificationTime())
+    return {value: ":".join(map(str, state)) for value, state in found.items()}
+
+
+def drop_partitions(spark: SparkSession, name: str, parts: Sequence[str], values: Sequence[tuple]) -> None:
+    """Remove whole partitions from a table, with their files."""
+    for row in values:
+        spec = []
+        for p, v in zip(parts, row, strict=True):
+            text = "null" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+            spec.append(f"`{p}` = {text}")
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({', '.join(spec)}) PURGE")
+
+
 def _versions_prefix(spark: SparkSession, name: str) -> str:
     """Folders of the versions of a table start with this path."""
     db, _, table = name.rpartition(".")

@@ -81,6 +81,35 @@ class Fixtures:
             .withColumn("data_block_id", F.datediff("date", F.lit(DAY0).cast("date")))
         )
 
+    def historical_weather(self) -> DataFrame:
+        """Hourly means at a grid of places, a day after the hour."""
+        place = F.col("user_id")
+        return (
+            self.table("events")
+            .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("datetime"), (place % 8 / 2).alias("latitude"), (place % 4 / 4).alias("longitude"))
+            .agg(F.round(F.avg("value"), 7).alias("temperature"))
+            .withColumn("data_block_id", F.datediff(F.to_date("datetime"), F.lit(DAY0).cast("date")) + 1)
+        )
+
+    def forecast_weather(self) -> DataFrame:
+        """Of each day what was forecast for its hours; one temperature in 53 is missing."""
+        place, hour = F.col("user_id"), F.hour("ts")
+        origin = F.date_trunc("day", "ts").cast("timestamp_ntz")
+        rows = self.table("events").groupBy((place % 8 / 2).alias("latitude"), (place % 4 / 4).alias("longitude"), origin.alias("origin_datetime"), hour.alias("hours_ahead"))
+        return rows.agg(F.round(F.max("value"), 7).alias("top"), F.min("event_id").alias("first")).select(
+            "latitude",
+            "longitude",
+            "origin_datetime",
+            "hours_ahead",
+            F.when(F.col("first") % 53 != 0, F.col("top")).alias("temperature"),
+            F.datediff(F.to_date("origin_datetime"), F.lit(DAY0).cast("date")).alias("data_block_id"),
+            (F.col("origin_datetime") + F.make_interval(hours="hours_ahead")).cast("timestamp_ntz").alias("forecast_datetime"),
+        )
+
+    def unscored(self) -> DataFrame:
+        """The readings as a test set: without the target, with the time to predict."""
+        return self.readings().drop("target").withColumnRenamed("datetime", "prediction_datetime")
+
     def flights(self) -> DataFrame:
         """Shipments as flights: the delay is text with ``'NA'`` for cancelled ones."""
         li, o, s, c = (self.table(t) for t in ("lineitem", "orders", "supplier", "customer"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework import schemas
+from tablework.operators.merge import RANGE
 from tablework.plans import medallion as ME
 from tablework.plans import property as P
 from tablework.session import fresh_database, scratch_dir
@@ -21,6 +22,9 @@ SCHEMAS = {
     "electricity_prices": schemas.ELECTRICITY_PRICES,
     "gas_prices": schemas.GAS_PRICES,
     "weather_station_to_county_mapping": schemas.WEATHER_STATIONS,
+    "historical_weather": schemas.HISTORICAL_WEATHER,
+    "forecast_weather": schemas.FORECAST_WEATHER,
+    "test": schemas.UNSCORED,
 }
 
 
@@ -58,13 +62,16 @@ def loaded(fx: Fixtures, label: str, blocks: int) -> str:
     return db
 
 
-def load_layers(fx: Fixtures, db: str, folder: str, blocks: int) -> None:
-    ME.load_bronze(fx.spark, folder, db, blocks, SCHEMAS)
+def load_layers(fx: Fixtures, db: str, folder: str, blocks: int) -> bool:
+    """Bronze and silver of the next blocks; False, and silver as it was, if there are none."""
+    if not any(x.startswith("blocks") for x in ME.load_bronze(fx.spark, folder, db, blocks, SCHEMAS).values()):
+        return False
     for t in ("train", "client", "electricity_prices", "gas_prices"):
         ME.load_silver(fx.spark, db, t)
     ME.refresh_reference(
         fx.spark, db, "weather_station_to_county_mapping", ["county_name", "longitude", "latitude", "county"]
     )
+    return True
 
 
 @query(
@@ -108,6 +115,28 @@ def l02(fx: Fixtures) -> DataFrame:
     return fx.spark.table(f"{db}.silver_train").select(schemas.READINGS.names)
 
 
+@query(
+    "l02_silver_weather",
+    """SELECT 'historical' AS kind, date_trunc('hour', ts) AS datetime, 0 AS hours_ahead, (user_id % 8) / 2 AS latitude, (user_id % 4) / 4 AS longitude,
+        round(avg(value), 7) AS temperature, CAST(date_diff('day', DATE '2024-01-01', CAST(date_trunc('hour', ts) AS DATE)) AS INT) + 1 AS data_block_id FROM events GROUP BY ALL
+      UNION ALL SELECT 'forecast', o + to_hours(h), CAST(h AS INT), latitude, longitude, t, CAST(date_diff('day', DATE '2024-01-01', CAST(o AS DATE)) AS INT) FROM
+        (SELECT date_trunc('day', ts)::TIMESTAMP AS o, hour(ts) AS h, (user_id % 8) / 2 AS latitude, (user_id % 4) / 4 AS longitude,
+          round(max(value), 7) AS t, min(event_id) AS first FROM events GROUP BY ALL) WHERE first % 53 <> 0""",
+)
+def l02_weather(fx: Fixtures) -> DataFrame:
+    """Both weather tables through bronze and silver, some blocks in each run."""
+    db, folder = fresh_database(fx.spark, "l02w"), scratch_dir(fx.spark, "l02w")
+    export_csv(fx.historical_weather(), f"{folder}/historical_weather.csv")
+    export_csv(fx.forecast_weather(), f"{folder}/forecast_weather.csv")
+    while any(x.startswith("blocks") for x in ME.load_bronze(fx.spark, folder, db, 20, SCHEMAS).values()):
+        for t in ("historical_weather", "forecast_weather"):
+            ME.load_silver(fx.spark, db, t)
+    past, ahead = (fx.spark.table(f"{db}.silver_{t}") for t in ("historical_weather", "forecast_weather"))
+    columns = ["kind", "datetime", "hours_ahead", "latitude", "longitude", "temperature", "data_block_id"]
+    ahead = ahead.withColumnRenamed("forecast_datetime", "datetime").withColumn("kind", F.lit("forecast"))
+    return past.withColumns({"kind": F.lit("historical"), "hours_ahead": F.lit(0)}).select(columns).unionByName(ahead.select(columns))
+
+
 @query(
     "l02_silver_insert_only",
     "SELECT * FROM readings WHERE target IS NOT NULL",
@@ -139,12 +168,11 @@ def l03(fx: Fixtures) -> DataFrame:
 SILVER_CTE = GOLD_SQL.replace("FROM readings a", "FROM (SELECT * FROM readings WHERE target IS NOT NULL) a")
 
 
-def gold(fx: Fixtures, label: str, runs=(45,), grain: str = "hour") -> str:
-    """All layers, gold once per bronze run."""
+def gold(fx: Fixtures, label: str, blocks: int = 45, grain: str = "hour") -> str:
+    """All layers in runs of some blocks each until no table has anything new; gold once per run."""
     db = fresh_database(fx.spark, label)
     folder, checkpoint = raw_files(fx, label), scratch_dir(fx.spark, f"{label}c")
-    for blocks in runs:
-        load_layers(fx, db, folder, blocks)
+    while load_layers(fx, db, folder, blocks):
         ME.load_gold(fx.spark, db, checkpoint, grain=grain)
     return db
 
@@ -158,6 +186,33 @@ def l04_features(fx: Fixtures) -> DataFrame:
     return fx.spark.table(f"{gold(fx, 'l04f')}.gold_all_features")
 
 
+@query(
+    "l04_gold_features_steps",
+    SILVER_CTE.format(electricity="date_trunc('hour', a.datetime) = c.forecast_date + INTERVAL 1 DAY"),
+    GOLD_VIEWS,
+)
+def l04_features_steps(fx: Fixtures) -> DataFrame:
+    """Built in several loads: prices and client states arrive after readings that need them."""
+    return fx.spark.table(f"{gold(fx, 'l04fs', 13)}.gold_all_features")
+
+
+@query(
+    "l04_gold_test",
+    """SELECT event_id AS row_id, user_id AS prediction_unit_id, CAST(user_id % 16 AS INT) AS county, CAST(user_id % 2 AS INT) AS is_business,
+        CAST(user_id % 4 AS INT) AS product_type, CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE 0 END AS is_consumption,
+        ts AS prediction_datetime, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INT) AS data_block_id FROM events""",
+)
+def l04_test(fx: Fixtures) -> DataFrame:
+    """The test set through bronze and silver in two runs, gold with the test dataset each time."""
+    db, checkpoint, folder = fresh_database(fx.spark, "l04t"), scratch_dir(fx.spark, "l04tc"), scratch_dir(fx.spark, "l04t")
+    for name, data in {"test": fx.unscored(), "electricity_prices": fx.electricity_prices(), "gas_prices": fx.gas_prices()}.items():
+        export_csv(data, f"{folder}/{name}.csv")
+    while any(x.startswith("blocks") for x in ME.load_bronze(fx.spark, folder, db, 20, SCHEMAS).values()):
+        for t in ("test", "electricity_prices", "gas_prices"):
+            ME.load_silver(fx.spark, db, t)
+        ME.load_gold(fx.spark, db, checkpoint, dataset="test")
+    return fx.spark.table(f"{db}.gold_test").select(schemas.UNSCORED.names)
+
 @query(
     "l04_gold_prices",
     """SELECT coalesce(e.d, g.d) AS forecast_date, round(m, 11) AS electricity_price_per_mwh_median, round(a, 11) AS electricity_price_per_mwh_average,
@@ -169,7 +224,7 @@ def l04_features(fx: Fixtures) -> DataFrame:
     ("electricity_prices", "gas_prices"),
 )
 def l04_prices(fx: Fixtures) -> DataFrame:
-    return rounded(fx.spark.table(f"{gold(fx, 'l04p', (20, 25))}.gold_energy_prices_aggregate"), 11)
+    return rounded(fx.spark.table(f"{gold(fx, 'l04p', 20)}.gold_energy_prices_aggregate").drop(RANGE), 11)
 
 
 @query(
@@ -181,12 +236,12 @@ def l04_prices(fx: Fixtures) -> DataFrame:
     ("readings",),
 )
 def l04_consumption(fx: Fixtures) -> DataFrame:
-    return rounded(fx.spark.table(f"{gold(fx, 'l04k')}.gold_consumption_production_aggregate"), 4)
+    return rounded(fx.spark.table(f"{gold(fx, 'l04k', 20)}.gold_consumption_production_aggregate").drop(RANGE), 4)
 
 
 @query("l04_gold_stream", "SELECT * FROM readings WHERE target IS NOT NULL", ("readings",))
 def l04_stream(fx: Fixtures) -> DataFrame:
-    return fx.spark.table(f"{gold(fx, 'l04s', (20, 25))}.gold_train").select(schemas.READINGS.names)
+    return fx.spark.table(f"{gold(fx, 'l04s', 20)}.gold_train").select(schemas.READINGS.names)
 
 
 @query(

@@ -89,3 +89,49 @@ def test_write_merge_write_and_clean_up(spark, db):
     assert drop_old_versions(spark, name) == 4
     assert rows(spark.table(name), "k", "v", "w") == rows(target)
     assert drop_old_versions(spark, name) == 0
+
+
+def files_of(spark, name):
+    return {f.rsplit("/", 2)[-2] + "/" + f.rsplit("/", 1)[-1] for f in spark.table(name).inputFiles()}
+
+
+def test_merge_writes_only_touched_partitions(spark, db):
+    name = f"{db}.parts"
+    target = spark.createDataFrame([(k, f"v{k}", f"p{k // 10}") for k in range(50)] + [(None, "n", None)], "k int, v string, p string")
+    write_table(target, name, "overwrite", ["p"])
+    before = files_of(spark, name)
+    # 12 changes, 33 moves to another partition, 40..49 go altogether, 60 is new; p0 stays as it is
+    wanted = [(k, "new" if k == 12 else f"v{k}", "p1" if k == 33 else f"p{k // 10}") for k in range(40)] + [(60, "x", "p6"), (None, "n", None)]
+    source = spark.createDataFrame(wanted, "k int, v string, p string")
+    counts = M.merge_sync(spark, name, source, ["k"])
+    assert counts == {"insert": 2, "update": 2, "keep": 38, "delete": 11}
+    assert rows(spark.table(name)) == rows(source)
+    after = files_of(spark, name)
+    kept = {f.split("/")[0] for f in before & after}
+    assert kept == {"p=p0", "p=p2"} and "p=p4" not in {f.split("/")[0] for f in after}
+    again = M.merge_sync(spark, name, source, ["k"])
+    assert again == {"insert": 1, "update": 0, "keep": 41, "delete": 1} and rows(spark.table(name)) == rows(source)
+
+
+@pytest.mark.parametrize("kind", ["int", "date", "timestamp_ntz", "double"])
+def test_merge_writes_only_touched_ranges(spark, db, kind):
+    name = f"{db}.ranged"
+    key = {"int": "id", "date": "date_add(date'2024-01-01', int(id))", "timestamp_ntz": "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, int(id))", "double": "id / 4"}[kind]
+    data = spark.range(1000).selectExpr(f"CAST({key} AS {kind}) AS k", "id * 2 AS v")
+    M.write_ranged(data, name, "k", 8)
+    assert len({f.split("/")[0] for f in files_of(spark, name)}) == 8
+    before = files_of(spark, name)
+    source = spark.range(1, 1001).selectExpr(f"CAST({key} AS {kind}) AS k", "IF(id = 500, -1, id * 2) AS v")
+    assert M.merge_sync(spark, name, source, ["k"]) == {"insert": 1, "update": 1, "keep": 998, "delete": 1}
+    assert rows(spark.table(name).drop(M.RANGE)) == rows(source)
+    assert len(before & files_of(spark, name)) >= 5
+
+
+def test_merge_of_a_scope_leaves_the_rest(spark, db):
+    name = f"{db}.scoped"
+    for parts in (["p"], None):
+        write_table(spark.createDataFrame([(k, k, k // 10) for k in range(40)], "k int, v int, p int"), name, "overwrite", parts)
+        source = spark.createDataFrame([(k, -k, 1) for k in range(10, 15)], "k int, v int, p int")
+        assert M.merge_sync(spark, name, source, ["k"], scope=F.col("p") == 1) == {"insert": 0, "update": 5, "keep": 0, "delete": 5}
+        assert rows(spark.table(name).groupBy("p").agg(F.count("*"), F.sum("v"))) == [(0, 10, 45), (1, 5, -60), (2, 10, 245), (3, 10, 345)]
+        spark.sql(f"DROP TABLE {name}")
