@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tablework.llm.common import free_name, groups_of, id_and_text, map_batches, splitmix, stored
+from tablework.llm.common import discard, free_name, groups_of, id_and_text, map_batches, splitmix, stored
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 SIMILARITY = 0.8  # of sets of shingles, where near copies are asked for by similarity
@@ -200,10 +200,11 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of a stored table of edges a, b: node, root (the smallest node of its component).
+    """Connected components of a stored table of edges a, b: node, root (the smallest node of its component); stored.
 
-    Each round takes the smallest label around a node, hands it to the node's former root as well, and
-    follows the new labels one step, so chains shrink by a factor per round. Every round is stored.
+    Nodes may have any type that has an order. Each round takes the smallest label around a node, hands it to the
+    node's former root as well, and follows the new labels one step, so chains shrink by a factor per
+    round. Every round is stored, and what it replaces is deleted.
     """
     both = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other"))), "links")
     labels = stored(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root")), "labels")
@@ -216,9 +217,11 @@ def components(edges: DataFrame) -> DataFrame:
         )
         jump = told.select(F.col("node").alias("root"), F.col("root").alias("next"))
         newer = stored(told.join(jump, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
-        changed = newer.join(labels.withColumnRenamed("root", "old"), "node").where("root != old").limit(1).count()
+        changed = newer.join(labels.withColumnRenamed("root", "old"), "node").where("root <> old").limit(1).count()
+        discard(told, labels)
         labels = newer
         if not changed:
+            discard(both)
             return labels
 
 

@@ -14,7 +14,8 @@
 
 Results in odd cases: null, empty and short texts have no passages; rows that share an id are one
 document, so a repeated row or a passage that repeats inside one document is no repeat; rows with a null
-id are told apart by their texts and keep the null; an empty table gives an empty result. Very long
+id are told apart by their texts (a hash of 64 bits in place of the id) and keep the null; ids may be negative; an
+empty table gives an empty result. Very long
 texts are read whole. Words are compared in lower case of A-Z, by hashes of 64 bits. Extra input columns
 are not carried along.
 """
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.llm.common import groups_of, map_batches, splitmix, stored
+from tablework.llm.common import discard, groups_of, map_batches, splitmix, stored
 from tablework.llm.simhash import components
 
 MIN_WORDS, WINDOW, GRAM = 50, 16, 5
@@ -170,19 +171,20 @@ def shared_in_stream(batches):
         yield from close(True)
 
 
-def shared_rows(rows: DataFrame, label: str) -> DataFrame:
-    """Of a table h, doc, at: the rows whose h occurs in two documents or more."""
+def shared_rows(rows: DataFrame, label: str) -> tuple[DataFrame, list[DataFrame]]:
+    """Of a table h, doc, at: the rows whose h occurs in two documents or more. Also the tables that they are read from."""
     ordered = rows.select("h", "doc", "at").repartitionByRange("h", "doc", "at").sortWithinPartitions("h", "doc", "at")
     found = stored(map_batches(ordered, shared_in_stream, ROWS), label)
     at_ends = found.where(F.col("state") != SHARED).groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low != high")
-    settled = found.where(F.col("state") == OPEN).join(stored(at_ends.select("h"), f"{label}-ends"), "h", "left_semi")
-    return found.where(F.col("state") == SHARED).select("h", "doc", "at").unionByName(settled.select("h", "doc", "at"))
+    at_ends = stored(at_ends.select("h"), f"{label}-ends")
+    settled = found.where(F.col("state") == OPEN).join(at_ends, "h", "left_semi")
+    return found.where(F.col("state") == SHARED).select("h", "doc", "at").unionByName(settled.select("h", "doc", "at")), [found, at_ends]
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc (a number for every row), text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text).bitwiseOR(F.lit(-(1 << 63)))).alias("doc"), text.alias("text"))
+    """doc (a number for every row; a hash of the text where the id is null), text, unknown (whether it is)."""
+    text, known = F.coalesce(F.col(text_col), F.lit("")), F.col(id_col).cast("long")
+    return docs.select(F.coalesce(known, F.xxhash64(text)).alias("doc"), text.alias("text"), known.isNull().alias("unknown"))
 
 
 def suffix_rows(texts: DataFrame, size: int, window: int, gram: int) -> DataFrame:
@@ -196,7 +198,7 @@ def suffix_rows(texts: DataFrame, size: int, window: int, gram: int) -> DataFram
                 h, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(at.astype(np.int32))], ["h", "doc", "at"])
 
-    return map_batches(texts, run, "h long, doc long, at int")
+    return map_batches(texts.select("doc", "text"), run, "h long, doc long, at int")
 
 
 def window_rows(texts: DataFrame, marked: DataFrame, size: int, min_words: int, window: int, gram: int) -> DataFrame:
@@ -235,27 +237,32 @@ def repeated_passages(
     size = min_words - window + 1
     texts = keyed(docs, id_col, text_col)
     kept = stored(suffix_rows(texts, size, window, gram), "suffixes")
-    shared = shared_rows(kept, "shared-suffixes")
-    marked = shared.groupBy("doc").agg(F.collect_set("at").alias("places"))  # bounded by one document
-    windows = window_rows(texts, stored(marked, "marked-documents"), size, min_words, window, gram)
-    repeated = shared_rows(windows, "shared-windows")
+    shared, tables = shared_rows(kept, "shared-suffixes")
+    discard(kept)
+    marked = stored(shared.groupBy("doc").agg(F.collect_set("at").alias("places")), "marked-documents")  # bounded by one document
+    discard(*tables)
+    repeated, tables = shared_rows(window_rows(texts, marked, size, min_words, window, gram), "shared-windows")
     by_place = Window.partitionBy("doc").orderBy("at", "h")  # one document's windows
-    before = F.lag("at").over(by_place)
-    fresh = F.coalesce(F.col("at") > before + min_words, F.lit(True))
-    placed = repeated.select("doc", "at", "h", fresh.alias("fresh"), F.lag("h").over(by_place).alias("h_before"))
-    runs = placed.select("doc", "at", "h", F.sum(F.col("fresh").cast("int")).over(by_place).alias("run"), F.when(~F.col("fresh"), F.col("h_before")).alias("h_before"))
-    runs = stored(runs, "passage-windows")
-    neighbours = runs.where("h_before <> h").select(F.least("h", "h_before").alias("a"), F.greatest("h", "h_before").alias("b")).distinct()
-    of_window = components(stored(neighbours, "window-links"))
-    merged = stored(runs.groupBy("doc", "run").agg(F.min(F.struct("at", "h")).alias("first"), F.max("at").alias("last")), "passages")
-    classed = merged.join(of_window, F.col("first.h") == F.col("node"), "left").select("doc", "first", "last", F.coalesce("root", "first.h").alias("class"))
-    classed = stored(classed, "passage-classes")
-    members = stored(classed.select("class", "doc").distinct().groupBy("class").agg(F.count(F.lit(1)).alias("n_docs")), "class-sizes")
-    doc_id = F.when(F.col("doc") >= 0, F.col("doc"))
-    return classed.join(members, "class").select(
-        doc_id.alias("doc_id"),
-        F.col("first.at").cast("long").alias("start_word"),
-        (F.col("last") + min_words - F.col("first.at")).cast("long").alias("n_words"),
+    fresh = F.coalesce(F.col("at") > F.lag("at").over(by_place) + min_words, F.lit(True))
+    placed = repeated.select("doc", "at", "h", fresh.cast("int").alias("fresh"))
+    runs = stored(placed.select(F.struct("doc", F.sum("fresh").over(by_place).alias("run")).alias("node"), "at", "h"), "passage-windows")
+    discard(marked, *tables)
+    merged = stored(runs.groupBy("node").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.min("h").alias("low")), "passages")
+    # a run is linked to the least run that has one of its windows: runs are few for each document, and so are these links
+    heads = stored(runs.groupBy("h").agg(F.min("node").alias("head")), "window-heads")
+    linked = stored(runs.join(heads, "h").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "passage-links")
+    discard(runs, heads)
+    of_run = components(linked)
+    classed = stored(merged.join(of_run, "node", "left").withColumn("root", F.coalesce("root", "node")), "passage-classes")
+    discard(merged, linked, of_run)
+    in_documents = classed.groupBy("root", "node.doc").agg(F.min("low").alias("low"))
+    classes = stored(in_documents.groupBy("root").agg(F.min("low").alias("class"), F.count(F.lit(1)).alias("n_docs")), "classes")
+    unknown = stored(texts.where("unknown").select("doc").distinct(), "unknown-ids")
+    found = classed.join(classes, "root").select(F.col("node.doc").alias("doc"), "first", "last", "class", "n_docs")
+    return found.join(unknown.withColumn("unknown", F.lit(True)), "doc", "left").select(
+        F.when(F.col("unknown").isNull(), F.col("doc")).alias("doc_id"),
+        F.col("first").cast("long").alias("start_word"),
+        (F.col("last") + min_words - F.col("first")).cast("long").alias("n_words"),
         F.lower(F.hex("class")).alias("class_id"),
         "n_docs",
     )

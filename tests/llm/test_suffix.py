@@ -128,3 +128,11 @@ def test_classes_join_all_documents_that_share_text(spark, docs_of):
     assert {place: members[name] for place, (name, _) in got.items()} == want
     assert all(n == len({d for d, _ in members[name]}) for name, n in got.values())
     assert got[0, 0] == got[2, 0] and got[0, 0][1] == 3 and got[4, 1] == got[5, 1] and got[6, 30] == got[7, 1]
+
+
+def test_negative_and_null_ids(spark, docs_of):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(-5, "a " + passage), (-(1 << 63), "b " + passage), (None, "c " + passage), (None, "d " + passage), (7, "e other")]
+    got = suffix.repeated_passages(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id), r.start_word, r.n_words, r.n_docs) for r in got) == sorted((str(i), 1, 60, 4) for i, _ in rows[:4])
+    assert len({r.class_id for r in got}) == 1
