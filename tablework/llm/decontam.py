@@ -67,6 +67,29 @@ def prepared_items(bench: DataFrame, size: int = SHINGLE, id_col: str = "item_id
     return rows.select("item_id", F.xxhash64("words").alias("item_key"), "n_words", "size", hashes.alias("hashes"))
 
 
+def window_starts(threshold: float) -> Column:
+    """Starts of all windows that may reach the threshold: from places (sorted), n_words, size and room (shingles in the document).
+
+    An item has m = n_words - size + 1 shingles. A window with w of its own needs t (w + m) / (1 + t) shared ones; whole windows have
+    w = m, those that an end of the document cuts need t m at least. Of the windows whose first shared
+    shingle is the i-th, those have so many that also hold the one that many places on.
+    """
+    def starts(m: Column, least: Column, low: Column, high: Column) -> Column:
+        def of(p: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get("places", i - 1))
+            first = F.greatest(before + 1, F.get("places", i + least - 1) - m + 1, low)
+            last = F.least(p, high)
+            enough = F.get("places", i + least - 1).isNotNull() & (first <= last)
+            return F.when(enough, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+        return F.flatten(F.transform("places", of))
+
+    m, room = F.col("n_words") - F.col("size") + 1, F.col("room")
+    at_least = lambda share: F.greatest(F.ceil(share * m - 1e-9).cast("int"), F.lit(1))
+    whole, cut = at_least(2 * threshold / (1 + threshold)), at_least(threshold)
+    return F.concat(starts(m, whole, F.lit(0), room - m), starts(m, cut, 1 - m, F.least(F.lit(-1), room - 1)), starts(m, cut, F.greatest(room - m + 1, F.lit(0)), room - 1))
+
+
 def contaminated(
     docs: DataFrame, bench: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -74,7 +97,7 @@ def contaminated(
     items = stored(prepared_items(bench, size), "items")
     distinct = items.dropDuplicates(["item_key"]).select("item_key", "n_words", "size", "hashes")
     places = stored(distinct.select("item_key", "n_words", "size", F.posexplode("hashes").alias("at", "h")), "item-shingles")
-    wanted = stored(places.select("size", "h").distinct().coalesce(1), "item-hashes")
+    wanted = stored(places.select("size", "h").distinct(), "item-hashes")
     sizes = sorted(r[0] for r in wanted.select("size").distinct().collect())  # at most ``size`` values
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -82,14 +105,16 @@ def contaminated(
     split = texts.select("doc_id", text_key(F.col("text")).alias("text_key"), words)
     found = None
     for k in sizes or [size]:
-        placed = split.select("doc_id", "text_key", F.posexplode(shingles(F.col("words"), k)).alias("pos", "h"))
+        placed = split.select("doc_id", "text_key", (F.size("words") - (k - 1)).alias("room"), F.posexplode(shingles(F.col("words"), k)).alias("pos", "h"))
         hit = placed.join(wanted.where(F.col("size") == k).select("h"), "h", "left_semi").withColumn("size", F.lit(k))
         found = hit if found is None else found.unionByName(hit)
     hits = stored(found, "shared-shingles")
 
-    # Windows: where a shared shingle lies in the document minus where it lies in the item.
-    laid = hits.join(places, ["size", "h"]).select("doc_id", "text_key", "item_key", "n_words", "size", (F.col("pos") - F.col("at")).alias("start")).distinct()
-    per_doc = laid.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("item_key", "n_words", "size", "start")).alias("windows"))
+    # Every window of an item's length with so many shared shingles as the threshold asks for at least, whatever their order.
+    shared = hits.join(places.select("size", "h", "item_key", "n_words").distinct(), ["size", "h"])
+    places_of = shared.groupBy("doc_id", "text_key", "item_key", "n_words", "size", "room").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    laid = places_of.select("doc_id", "text_key", "n_words", "size", F.explode(window_starts(threshold)).alias("start")).distinct()
+    per_doc = laid.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("n_words", "size", "start")).alias("windows"))
     per_doc = stored(per_doc.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "windows"), "windows-of-documents")
     keyed = texts.withColumn("text_key", text_key(F.col("text")))
     chosen = keyed.join(per_doc, keyed["doc_id"].eqNullSafe(per_doc["id"]) & (keyed["text_key"] == per_doc["key"]))
@@ -104,7 +129,7 @@ def contaminated(
                 for k, hashes in all_hashes.items():
                     count = F.greatest(x["start"] + x["n_words"] - (k - 1) - first, F.lit(0))
                     out = F.when(x["size"] == k, F.slice(hashes, first + 1, count)).otherwise(out)
-                return F.struct(x["item_key"].alias("item_key"), x["start"].alias("start"), F.least(x["start"] + x["n_words"], F.size(w)).alias("end"), out.alias("hashes"))
+                return F.struct(x["n_words"].alias("n_words"), x["start"].alias("start"), F.least(x["start"] + x["n_words"], F.size(w)).alias("end"), out.alias("hashes"))
 
             return F.transform(F.col("windows"), build)
 
@@ -112,24 +137,25 @@ def contaminated(
         return let(together, lambda s: bag({k: s[f"s{k}"] for k in sizes or [size]}))
 
     bags = chosen.select("doc_id", "text_key", F.inline(let(text_words(F.col("text")), cut)))
-    bags = bags.select("doc_id", "text_key", "item_key", F.greatest("start", F.lit(0)).alias("start"), "end", "hashes").dropDuplicates(["doc_id", "text_key", "item_key", "start", "end"])
+    bags = bags.select("doc_id", "text_key", "n_words", F.greatest("start", F.lit(0)).alias("start"), "end", "hashes").dropDuplicates(["doc_id", "text_key", "n_words", "start", "end"])
     prints = bags.where(F.size("hashes") > 0).select("*", F.inline(F.array(F.struct(simhash(F.col("hashes")).alias("fp")))))
     prints = stored(prints, "window-fingerprints")
-    item_prints = distinct.select("item_key", F.size("hashes").alias("item_size"), F.inline(F.array(F.struct(simhash(F.col("hashes")).alias("item_fp")))))
+    item_prints = distinct.select("item_key", "n_words", F.size("hashes").alias("item_size"), F.inline(F.array(F.struct(simhash(F.col("hashes")).alias("item_fp")))))
     item_prints = stored(item_prints, "item-fingerprints")
 
     # Pairs that agree on a block and lie within the radius. The first block on which they agree names the pair once.
-    left = prints.select("doc_id", "text_key", "item_key", "start", "end", "fp", F.inline(block_keys(F.col("fp"), radius)))
-    right = item_prints.select("item_key", "item_fp", F.inline(block_keys(F.col("item_fp"), radius)))
+    left = prints.select("doc_id", "text_key", "n_words", "start", "end", "fp", F.inline(block_keys(F.col("fp"), radius)))
+    right = item_prints.select("item_key", "n_words", "item_fp", F.inline(block_keys(F.col("item_fp"), radius)))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     first_block = first_common_block(F.col("fp").bitwiseXOR(F.col("item_fp")), radius)
-    pairs = left.join(right, ["item_key", "block", "bits"]).where((near <= radius) & (F.col("block") == first_block))
-    window = ["doc_id", "text_key", "item_key", "start", "end"]
+    pairs = left.join(right, ["n_words", "block", "bits"]).where((near <= radius) & (F.col("block") == first_block))
+    place = ["doc_id", "text_key", "n_words", "start", "end"]
+    window = [*place, "item_key"]
     pairs = stored(pairs.select(*window, near.alias("distance")), "near-windows")
 
     # Exact weighted Jaccard: sums of the smaller and of the larger count of each shingle.
-    same = [prints[c].eqNullSafe(pairs[c]) for c in window]
-    bag = prints.join(pairs, (same[0] & same[1] & same[2] & same[3] & same[4])).select(*(prints[c] for c in window), "distance", "hashes")
+    same = [prints[c].eqNullSafe(pairs[c]) for c in place]
+    bag = prints.join(pairs, (same[0] & same[1] & same[2] & same[3] & same[4])).select(*(pairs[c] for c in window), "distance", "hashes")
     in_window = bag.select(*window, "distance", F.size("hashes").alias("window_size"), F.explode("hashes").alias("h"))
     counts = in_window.groupBy(*window, "distance", "window_size", "h").agg(F.count(F.lit(1)).alias("n"))
     item_counts = places.groupBy("item_key", "h").agg(F.count(F.lit(1)).alias("m"))

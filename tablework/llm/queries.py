@@ -158,7 +158,8 @@ SQL: dict[str, str] = {
       dsh AS (SELECT doc_id, doc_words, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS sh FROM ds),
       js AS (SELECT item_id, len(w) AS n, unnest(range(0, len(w) - 4)) AS pos, w FROM i WHERE len(w) >= 5),
       ish AS (SELECT item_id, n, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS sh FROM js),
-      cand AS (SELECT DISTINCT doc_id, doc_words, item_id, n, dsh.pos - ish.pos AS s FROM dsh JOIN ish USING (sh)),
+      hit AS (SELECT DISTINCT doc_id, doc_words, item_id, n, dsh.pos AS pos FROM dsh JOIN ish USING (sh)),
+      cand AS (SELECT DISTINCT doc_id, doc_words, item_id, n, pos - unnest(range(0, n - 4)) AS s FROM hit),
       win AS (SELECT DISTINCT doc_id, item_id, greatest(s, 0) AS a, least(s + n, doc_words) AS b FROM cand),
       wc AS (SELECT win.doc_id, win.item_id, win.a, win.b, sh, count(*) AS c FROM win
         JOIN dsh ON dsh.doc_id = win.doc_id AND dsh.pos >= win.a AND dsh.pos <= win.b - 5 GROUP BY ALL),
@@ -168,7 +169,7 @@ SQL: dict[str, str] = {
         FROM inter JOIN (SELECT DISTINCT item_id, n FROM js) USING (item_id))
       SELECT doc_id, item_id, CAST(a AS BIGINT) AS start_word, CAST(b - a AS BIGINT) AS n_words, round(similarity, 6) AS similarity
       FROM scored WHERE similarity >= 0.8
-      QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, a) = 1""",
+      QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, a, b) = 1""",
     "op11_collocations": """WITH
       d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
       p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS p FROM d),

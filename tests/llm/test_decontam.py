@@ -19,19 +19,16 @@ def bag(ws, size=5):
 
 
 def best(doc, item):
-    """Largest weighted similarity of the windows of the item's length that a shared shingle lays."""
+    """Largest weighted similarity of all windows of the item's length, those cut by an end of the document as well."""
     n, size = len(item), min(5, len(item))
     b = bag(item)
     top = 0.0
-    grams = lambda ws: [tuple(ws[i : i + size]) for i in range(len(ws) - size + 1)]
-    at = {}
-    for j, g in enumerate(grams(item)):
-        at.setdefault(g, []).append(j)
-    for s in {p - j for p, g in enumerate(grams(doc)) for j in at.get(g, ())}:
-        win = doc[max(s, 0) : max(s, 0) + n + min(s, 0)]
+    for s in range(1 - n, len(doc)):
+        win = doc[max(s, 0) : max(s + n, 0)]
         if len(win) >= size:
             a = Counter(tuple(win[i : i + size]) for i in range(len(win) - size + 1))
-            top = max(top, sum((a & b).values()) / sum((a | b).values()))
+            if a.keys() & b.keys():
+                top = max(top, sum((a & b).values()) / sum((a | b).values()))
     return top
 
 
@@ -66,6 +63,21 @@ def test_against_brute_force(spark, docs_of):
     assert all(r.distance <= D.RADIUS for r in rows)
 
 
+def test_passages_in_another_order_are_found(spark, docs_of):
+    item = words(5, 100)
+    docs = [
+        (1, " ".join([*words(6, 40), *item[50:], *item[:50], *words(7, 40)])),  # halves swapped
+        (2, " ".join([*item[70:], *item[:70]])),
+        (3, " ".join([*words(8, 9), *item[60:], *item[30:60], *item[:30]])),
+        (4, " ".join(item[9:])),  # cut by the beginning of the document
+        (5, " ".join([*words(9, 30), *item[:90]])),
+        (6, " ".join([*item[:40], *words(10, 30), *item[40:]])),
+    ]
+    got, _ = found(spark, docs_of, docs, [(1, " ".join(item), 0.0)])
+    want = {(d, 1): round(s, 9) for d, t in docs if (s := best(t.split(), item)) >= 0.8}
+    assert got == want and {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1)} <= set(got) and (6, 1) not in got
+
+
 def test_blocks_guarantee_the_radius(spark):
     draw = random.Random(3)
     pairs = []
