@@ -26,7 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.bpe import slices
@@ -40,6 +40,7 @@ ESCAPE = 0
 BLOCK_IDS = 1024
 SEGMENT_CHARS = 1 << 21
 FILE_BYTES = 32 << 20  # of text
+FILE_GROUP = 1000
 
 
 def bit_widths(values: np.ndarray) -> np.ndarray:
@@ -229,9 +230,9 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
 
     def run(batches):
         for batch in batches:
-            for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                start = position = 0
-                for about, ids in segments(data):
+            for i in range(batch.num_rows):  # one file at a time
+                file, start, position = batch.column(0)[i].as_py(), 0, 0
+                for about, ids in segments(batch.column(1)[i].as_py()):
                     flat = memoryview(ids.astype("<u4").tobytes())
                     ends = np.cumsum(about[:, 2])
                     begins = ends - about[:, 2]
@@ -255,18 +256,26 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
     return map_batches(files.select(name.alias("file"), "content"), run, schema)
 
 
+def file_starts(per_file: DataFrame) -> DataFrame:
+    """file, base: what all earlier files hold, for a table of file, in_file. Files are ordered by the number in their names.
+
+    Spark pads that number to five digits only, so names do not sort beyond. Files are summed up in groups of
+    ``FILE_GROUP`` neighbours first; the driver sees none of them.
+    """
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    placed = stored(per_file.select("file", "in_file", number.alias("number"), F.floor(number / FILE_GROUP).alias("group")), "token-files")
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    groups = placed.groupBy("group").agg(F.sum("in_file").alias("in_group"))
+    groups = stored(groups.select("group", F.coalesce(F.sum("in_group").over(earlier.orderBy("group")), F.lit(0)).alias("before")), "token-file-groups")
+    inside = F.coalesce(F.sum("in_file").over(earlier.partitionBy("group").orderBy("number", "file")), F.lit(0))
+    return placed.withColumn("inside", inside).join(groups, "group").select("file", (F.col("before") + F.col("inside")).alias("base"))
+
+
 def with_starts(read: DataFrame) -> DataFrame:
-    """Add ``start``: ids of all documents before, over all files in the order of their names.
+    """Add ``start``: ids of all documents before, over all files in the order of their numbers.
 
-    Only one row per file is summed up in order; the rows of documents stay where they are.
+    Only one row per file is summed up in order, inside Spark; the rows of documents stay where they are.
     """
     read = stored(read, "token-rows")
-    per_file = read.groupBy("file").agg(F.sum("n_tokens").alias("in_file")).orderBy("file").collect()
-    base, bases = 0, []
-    for file, n in per_file:
-        bases.append((file, base))
-        base += n
-    if not bases:
-        return read.withColumn("start", F.col("start_in_file"))
-    starts = read.sparkSession.createDataFrame(bases, "file string, base long")
+    starts = stored(file_starts(read.groupBy("file").agg(F.sum("n_tokens").alias("in_file"))), "token-file-starts")
     return read.join(starts, "file").withColumn("start", F.col("base") + F.col("start_in_file"))

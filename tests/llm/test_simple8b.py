@@ -90,3 +90,18 @@ def test_query_finds_added_tokens(spark, docs_of, tmp_path):
     ids = [*Tokenizer.from_file(PATH).encode("word <|endoftext|> x", add_special_tokens=False).ids, 2]
     found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op2_simple8b(spark, str(tmp_path)).collect()}
     assert found[1] == (0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) and found[2][0] == len(ids)
+
+
+def test_files_are_ordered_by_number_beyond_five_digits(spark, monkeypatch):
+    numbers = [0, 1, 2, 99_998, 99_999, 100_000, 100_001, 1_000_000]
+    names = {k: f"part-{k:05d}-abc-c000.txt" for k in numbers}
+    assert sorted(names.values()) != [names[k] for k in numbers]
+    for group in (1, 2, 1000):
+        monkeypatch.setattr(S, "FILE_GROUP", group)
+        per_file = spark.createDataFrame([(names[k], k % 7 + 1) for k in numbers], "file string, in_file long")
+        found = {r.file: r.base for r in S.file_starts(per_file).collect()}
+        total = 0
+        for k in numbers:
+            assert found[names[k]] == total
+            total += k % 7 + 1
+    assert S.file_starts(per_file.limit(0)).count() == 0
