@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablework.recommend import als as R
 from tablework.recommend import baskets as B
+from tablework.recommend.topn import top_items
 from tablework.session import staged
 from tablework.workload.fixtures import Fixtures
 from tablework.workload.joins import rounded
@@ -166,7 +167,7 @@ def r02(fx: Fixtures) -> DataFrame:
 def r04(fx: Fixtures) -> DataFrame:
     """Five different items per user, best first."""
     train, _, users, items = split_triples(fx, "r04")
-    best = R.recommend(R.als(train, rank=10, iterations=15), 5)
+    best, _ = top_items(R.als(train, rank=10, iterations=15), 5)
     by_place = Window.partitionBy("user").orderBy("place")
     falling = F.coalesce(F.lag("prediction").over(by_place) >= F.col("prediction"), F.lit(True))
     return R.named(best.withColumn("falling", falling), users, items).select("User_ID", F.col("place").cast("int").alias("place"), "falling")
