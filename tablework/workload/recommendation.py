@@ -13,23 +13,25 @@ from tablework.workload.fixtures import Fixtures
 from tablework.workload.joins import rounded
 from tablework.workload.registry import query
 
-SUPPORT, CONFIDENCE = 0.27, 0.5
+SUPPORT, CONFIDENCE = 0.15, 0.5
+LARGEST = 6  # size of sets up to which the twin looks; the given tables have sets of up to four
 
 LIKED = "l AS (SELECT DISTINCT User_ID, Movie_ID FROM ratings WHERE Rating >= 4), n AS (SELECT count(DISTINCT User_ID) AS users FROM l)"
-SETS = f"""{LIKED},
-  s1 AS (SELECT Movie_ID AS a, count(*) AS freq FROM l GROUP BY 1 HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n))),
-  s2 AS (SELECT x.Movie_ID AS a, y.Movie_ID AS b, count(*) AS freq FROM l x JOIN l y ON x.User_ID = y.User_ID AND x.Movie_ID < y.Movie_ID
-    GROUP BY 1, 2 HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n))),
-  s3 AS (SELECT s2.a AS a, s2.b AS b, z.Movie_ID AS c, count(*) AS freq FROM s2 JOIN l x ON x.Movie_ID = s2.a
-    JOIN l y ON y.User_ID = x.User_ID AND y.Movie_ID = s2.b JOIN l z ON z.User_ID = x.User_ID AND z.Movie_ID > s2.b
-    GROUP BY 1, 2, 3 HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n))),
-  cand AS (SELECT a AS antecedent, b AS consequent, freq FROM s2 UNION ALL SELECT b, a, freq FROM s2
-    UNION ALL SELECT concat(a, ',', b), c, freq FROM s3 UNION ALL SELECT concat(a, ',', c), b, freq FROM s3
-    UNION ALL SELECT concat(b, ',', c), a, freq FROM s3),
-  base AS (SELECT a AS antecedent, freq FROM s1 UNION ALL SELECT concat(a, ',', b), freq FROM s2),
-  rules AS (SELECT p.antecedent, p.consequent, p.freq / x.freq AS confidence,
+# u: who has a set whose part without the last item is frequent; s: the frequent sets
+LEVELS = ", ".join(
+    [f"u1 AS (SELECT User_ID, [Movie_ID] AS s FROM l), s1 AS (SELECT s, count(*) AS freq FROM u1 GROUP BY s HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n)))"]
+    + [
+        f"""u{k} AS (SELECT u.User_ID, list_append(s, Movie_ID) AS s FROM u{k - 1} u SEMI JOIN s{k - 1} USING (s) JOIN l ON l.User_ID = u.User_ID AND Movie_ID > s[-1]),
+        s{k} AS (SELECT s, count(*) AS freq FROM u{k} GROUP BY s HAVING count(*) >= ceil({SUPPORT}::DOUBLE * (SELECT users FROM n)))"""
+        for k in range(2, LARGEST + 1)
+    ]
+)
+SETS = f"""{LIKED}, {LEVELS},
+  sets AS ({" UNION ALL ".join(f"SELECT * FROM s{k}" for k in range(1, LARGEST + 1))}),
+  cand AS (SELECT list_filter(s, lambda x: x <> c) AS ante, c AS consequent, freq FROM (SELECT s, freq, unnest(s) AS c FROM sets WHERE len(s) > 1)),
+  rules AS (SELECT p.ante, p.consequent, p.freq / x.freq AS confidence,
     (p.freq / x.freq) / (y.freq / (SELECT users FROM n)) AS lift, p.freq / (SELECT users FROM n) AS support
-    FROM cand p JOIN base x ON p.antecedent = x.antecedent JOIN s1 y ON p.consequent = y.a WHERE p.freq / x.freq >= {CONFIDENCE})"""
+    FROM cand p JOIN sets x ON p.ante = x.s JOIN s1 y ON y.s = [p.consequent] WHERE p.freq / x.freq >= {CONFIDENCE})"""
 
 
 @query(
@@ -53,9 +55,7 @@ def model(fx: Fixtures):
 
 @query(
     "r05_itemsets",
-    f"""WITH {SETS} SELECT a AS itemset, CAST(1 AS INT) AS size, freq FROM s1
-      UNION ALL SELECT concat(a, ',', b), CAST(2 AS INT), freq FROM s2
-      UNION ALL SELECT concat(a, ',', b, ',', c), CAST(3 AS INT), freq FROM s3""",
+    f"""WITH {SETS} SELECT array_to_string(s, ',') AS itemset, CAST(len(s) AS INT) AS size, freq FROM sets""",
     ("ratings",),
 )
 def r05(fx: Fixtures) -> DataFrame:
@@ -64,7 +64,7 @@ def r05(fx: Fixtures) -> DataFrame:
 
 @query(
     "r06_rules",
-    f"""WITH {SETS} SELECT antecedent, consequent, round(confidence, 9) AS confidence, round(lift, 9) AS lift, round(support, 9) AS support FROM rules""",
+    f"""WITH {SETS} SELECT array_to_string(ante, ',') AS antecedent, consequent, round(confidence, 9) AS confidence, round(lift, 9) AS lift, round(support, 9) AS support FROM rules""",
     ("ratings",),
 )
 def r06(fx: Fixtures) -> DataFrame:
@@ -73,11 +73,10 @@ def r06(fx: Fixtures) -> DataFrame:
 
 @query(
     "r07_apply_rules",
-    f"""WITH {SETS}, hits AS (SELECT DISTINCT l.User_ID, consequent FROM l JOIN rules ON l.Movie_ID = split_part(antecedent, ',', 1)
-        WHERE (NOT contains(antecedent, ',') OR EXISTS (SELECT 1 FROM l w WHERE w.User_ID = l.User_ID AND w.Movie_ID = split_part(antecedent, ',', 2)))
-        AND NOT EXISTS (SELECT 1 FROM l o WHERE o.User_ID = l.User_ID AND o.Movie_ID = consequent))
-      SELECT u.User_ID, coalesce(array_to_string(list_sort(list(consequent) FILTER (consequent IS NOT NULL)), ','), '') AS prediction
-      FROM (SELECT DISTINCT User_ID FROM l) u LEFT JOIN hits ON u.User_ID = hits.User_ID GROUP BY 1""",
+    f"""WITH {SETS}, b AS (SELECT User_ID, list(Movie_ID) AS items FROM l GROUP BY 1),
+      hits AS (SELECT DISTINCT User_ID, consequent FROM b JOIN rules ON list_has_all(items, ante) AND NOT list_contains(items, consequent))
+      SELECT b.User_ID, coalesce(array_to_string(list_sort(list(consequent) FILTER (consequent IS NOT NULL)), ','), '') AS prediction
+      FROM b LEFT JOIN hits USING (User_ID) GROUP BY 1""",
     ("ratings",),
 )
 def r07(fx: Fixtures) -> DataFrame:
