@@ -170,6 +170,32 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def profile_values(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Per column of any type: count, nulls, distinct values, the most frequent one and how often it is there, first and last.
+
+    Values are counted column by column: a scan reads that column alone and its counts combine before the
+    shuffle, so rows are never multiplied by columns and a frequent value costs one row per task. Of
+    equally frequent values the lowest is named; all values are given as text.
+    """
+    out = None
+    for c in cols or df.columns:
+        counts = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        known = F.col("value").isNotNull()
+        # the most frequent and, of these, the lowest: a maximum of counts cannot prefer low values, a minimum of negated ones can
+        best = F.min(F.when(known, F.struct((-F.col("n")).alias("minus"), F.col("value").alias("value"))))
+        row = counts.agg(
+            F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("count"),
+            F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("value").alias("n_distinct"),
+            best.alias("best"),
+            F.min("value").cast("string").alias("first"),
+            F.max("value").cast("string").alias("last"),
+        )
+        row = row.select(F.lit(c).alias("column_name"), "count", "nulls", "n_distinct", F.col("best.value").cast("string").alias("top"), (-F.col("best.minus")).alias("freq"), "first", "last")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _grand_total(counts: DataFrame) -> DataFrame:
     """The total from the group counts: their shuffle is reused, the rows are not read again."""
     return counts.agg(F.sum("count").alias("total"))

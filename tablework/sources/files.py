@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tablework.session import staged
+from tablework.sinks.tables import write_table
 
 
 def read_csv(
@@ -31,6 +35,29 @@ def read_csv(
     return reader.load(paths)
 
 
+def load_csv_checked(spark: SparkSession, path: str | Sequence[str], schema: StructType, table: str, quarantine: str, header: bool = True) -> dict[str, int]:
+    """Append the well-formed rows of CSV files to one table and the raw text of all others to a second one; returns their numbers.
+
+    A row is malformed if it has too many or too few fields or a value that is not of its column's type. The files
+    are parsed once, with all columns (Spark looks for faults only in columns that are asked for). ``quarantine``
+    has the columns file_path, raw_text and load_timestamp.
+    """
+    bad = "_corrupt_record"
+    reader = spark.read.schema(StructType([*(StructField(f.name, f.dataType) for f in schema.fields), StructField(bad, StringType())]))
+    reader = reader.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad)
+    seen = Observation()
+    parsed = reader.csv([path] if isinstance(path, str) else list(path)).withColumn("_file", F.col("_metadata.file_path"))
+    counted = parsed.observe(seen, F.count_if(F.col(bad).isNull()).alias("good"), F.count_if(F.col(bad).isNotNull()).alias("bad"))
+    rows = staged(counted, "parsed")
+    write_table(rows.where(F.col(bad).isNull()).select(schema.names), table, "append")
+    left = rows.where(F.col(bad).isNotNull()).select(F.col("_file").alias("file_path"), F.col(bad).alias("raw_text"), F.current_timestamp().alias("load_timestamp"))
+    write_table(left, quarantine, "append")
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:  # files without any row report nothing
+        return {"good": 0, "bad": 0}
+
+
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None) -> DataFrame:
     reader = spark.read
     if schema is not None:

@@ -215,6 +215,27 @@ def a16(fx: Fixtures) -> DataFrame:
     return rounded(A.profile(fx.properties(), NUMERIC), 5)
 
 
+MIXED = {"flag": "nullif(l_returnflag, 'R')", "status": "l_linestatus", "shipped": "CAST(l_shipdate AS DATE)", "taxed": "l_tax > 0.04"}
+
+
+@query(
+    "a16_profile_all",
+    "WITH t AS (SELECT "
+    + ", ".join(f"{v} AS {c}" for c, v in MIXED.items())
+    + " FROM lineitem) "
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS count, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS n_distinct,
+        (SELECT CAST({c} AS VARCHAR) FROM t WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS top,
+        (SELECT count(*) FROM t WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 1 DESC LIMIT 1) AS freq,
+        CAST(min({c}) AS VARCHAR) AS first, CAST(max({c}) AS VARCHAR) AS last FROM t"""
+        for c in MIXED
+    ),
+)
+def a16_all(fx: Fixtures) -> DataFrame:
+    """Text, date and boolean columns."""
+    return A.profile_values(fx.table("lineitem").selectExpr(*(f"{v} AS {c}" for c, v in MIXED.items())))
+
+
 @query(
     "a17_class_balance",
     """SELECT is_consumption, count(*) AS count, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM readings WHERE target <> 0), 8) AS percent

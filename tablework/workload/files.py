@@ -44,6 +44,26 @@ def s01_inferred(fx: Fixtures) -> DataFrame:
     return read.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_acctbal", "c_mktsegment")
 
 
+@query(
+    "s01_malformed",
+    """SELECT 'good' AS kind, c_custkey, c_acctbal, CAST(NULL AS VARCHAR) AS raw_text FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0
+      UNION ALL SELECT 'bad', NULL, NULL, CASE WHEN c_custkey % 5 = 0 THEN concat('x', c_custkey, ',', c_name, ',', c_nationkey, ',0.5,', c_mktsegment)
+        ELSE concat(c_custkey, ',', c_name) END FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 7 = 0""",
+)
+def s01_malformed(fx: Fixtures) -> DataFrame:
+    """A fifth of the rows have text for a number, others too few fields; both end up apart, none is lost."""
+    key = F.col("c_custkey")
+    broken = F.concat_ws(",", F.concat(F.lit("x"), key), "c_name", "c_nationkey", F.lit("0.5"), "c_mktsegment")
+    line = F.when(key % 5 == 0, broken).when(key % 7 == 0, F.concat_ws(",", "c_custkey", "c_name"))
+    whole = F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("string"), "c_mktsegment")
+    path, db = scratch_dir(fx.spark, "s01m"), fresh_database(fx.spark, "s01m")
+    fx.table("customer").select(F.coalesce(line, whole).alias("value")).write.text(path)
+    S.load_csv_checked(fx.spark, path, CUSTOMER, f"{db}.customer", f"{db}.customer_malformed", header=False)
+    good = fx.spark.table(f"{db}.customer").select(F.lit("good").alias("kind"), "c_custkey", "c_acctbal", F.lit(None).cast("string").alias("raw_text"))
+    bad = fx.spark.table(f"{db}.customer_malformed")
+    return good.unionByName(bad.select(F.lit("bad").alias("kind"), F.lit(None).cast("long").alias("c_custkey"), F.lit(None).cast("double").alias("c_acctbal"), "raw_text"))
+
+
 @query("s02_multi_file_scan", "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_nationkey < 5")
 def s02(fx: Fixtures) -> DataFrame:
     a = K.export_csv(fx.table("customer"), scratch_dir(fx.spark, "s02a"))

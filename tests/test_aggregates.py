@@ -123,3 +123,23 @@ def test_hot_group_counts(spark):
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"), "id")
     got = dict(rows(A.distinct_counts(df, ["k"], {"n": "id"})))
     assert got["hot"] == n // 3 and sum(got.values()) == n
+
+
+def test_profile_of_any_column(spark):
+    import datetime as dt
+
+    day = dt.date(2024, 1, 1)
+    data = [("b", True, day, 1), ("a", None, day, 1), ("a", False, None, 1), ("b", True, day + dt.timedelta(1), 1), (None, None, None, 1), ("", None, None, 1)]
+    df = spark.createDataFrame([(*r, None) for r in data], "t string, b boolean, d date, n int, void string")
+    found = rows(A.profile_values(df))
+    assert found == sorted(
+        [
+            ("t", 5, 1, 3, "a", 2, "", "b"),
+            ("b", 3, 3, 2, "true", 2, "false", "true"),
+            ("d", 3, 3, 2, "2024-01-01", 2, "2024-01-01", "2024-01-02"),
+            ("n", 6, 0, 1, "1", 6, "1", "1"),
+            ("void", 0, 6, 0, None, None, None, None),
+        ]
+    )
+    empty = rows(A.profile_values(df.limit(0), ["t"]))
+    assert empty == [("t", 0, 0, 0, None, None, None, None)]

@@ -124,3 +124,21 @@ def test_marks_are_per_table(spark, db):
     K.set_watermark(spark, marks, "a", 6)
     assert (K.get_watermark(spark, marks, "a"), K.get_watermark(spark, marks, "b")) == (6, 7)
     assert K.get_watermark(spark, marks, "c") == -1
+
+
+def test_malformed_rows_are_kept_apart(spark, db, tmp_path):
+    from tablework.sources.files import load_csv_checked
+
+    schema = table("id bigint", "name string", "amount double")
+    (tmp_path / "a.csv").write_text('id,name,amount\n1,a,1.5\nx,b,2\n3,c\n4,d,4,extra\n5,,\n"6","e,e",6\n')
+    (tmp_path / "b.csv").write_text("id,name,amount\n7,g,seven\n8,h,8\n")
+    for n in (1, 2):
+        counts = load_csv_checked(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], schema, f"{db}.good", f"{db}.bad")
+        assert counts == {"good": 4, "bad": 4}
+        assert spark.table(f"{db}.good").count() == 4 * n  # loads append
+    assert rows(spark.table(f"{db}.good").distinct()) == [(1, "a", 1.5), (5, None, None), (6, "e,e", 6.0), (8, "h", 8.0)]
+    bad = rows(spark.table(f"{db}.bad").select("raw_text", "file_path").distinct())
+    assert [r[0] for r in bad] == sorted({"x,b,2", "3,c", "4,d,4,extra", "7,g,seven"})
+    assert [r[1].rsplit("/", 1)[-1] for r in bad] == ["a.csv", "a.csv", "b.csv", "a.csv"]
+    (tmp_path / "c.csv").write_text("id,name,amount\n")
+    assert load_csv_checked(spark, str(tmp_path / "c.csv"), schema, f"{db}.good", f"{db}.bad") == {"good": 0, "bad": 0}
