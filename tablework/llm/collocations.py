@@ -10,9 +10,10 @@
    written in these numbers, and step 2 follows again, up to ``MAX_WORDS`` words. A phrase that is frequent
    has frequent parts, so nothing is lost.
 
-Counts of blocks are added by a window sum over the phrase, where each block has one row, so a phrase in a
-third of all texts makes no more rows than there are blocks. Numbers go back to the blocks by joins;
-nothing is broadcast or collected but one row for each range of the rankings.
+Counts of blocks are added in hash buckets, whose number grows with the corpus; a pair has one entry for each block,
+so a phrase in a third of all texts weighs no more than the number of blocks. Numbers go back to the blocks
+through the same buckets, and pairs travel as arrays, not as rows. Nothing is broadcast or collected but
+one row for each range of the rankings.
 
 Results in odd cases: null and empty texts have no words; a null language is ``und``; repeated rows count
 again; ties in the score of cuts go to the shortest first part, those in the list to the more frequent phrase,
@@ -25,13 +26,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablework.llm.common import discard, groups_of, map_batches, stored
+from tablework.llm.common import discard, groups_of, map_batches, splitmix, stored
 
 MIN_COUNT, MAX_WORDS, TOP, SCALE, INSIDE_PERCENT = 30, 4, 2000, 2_000_000, 80
 BLOCK_CHARS = 4 << 20
+BUCKET_WORDS = 4_000_000  # pairs are dealt to one bucket for each so many words of the corpus
+TASK_BLOCKS = 4  # a block is some MB; tasks that join blocks with their numbers get about so many
 SIDE, DENSE = 512, 8  # a tile is counted by addresses if it has more than a DENSE-th as many pairs as addresses
 END = b"\xff"  # ends a piece; no octet of UTF-8
 FOLD = bytes.maketrans(b"\t.,;:!?\n\v\f\r" + bytes(range(65, 91)), b" " + END * 10 + bytes(range(97, 123)))
@@ -108,30 +111,65 @@ def blocks_of(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return map_batches(texts, run, "block long, lang string, ids binary, words array<string>, counts array<long>, n long")
 
 
+def binary(values: np.ndarray, kind) -> pa.Array:
+    return pa.array([np.ascontiguousarray(values, kind).tobytes()])
+
+
+def packed(rows: DataFrame, group: str) -> DataFrame:
+    """group, key, id as arrays in octets, a row for each group of a batch. ``rows``: group, key, id."""
+
+    def run(batches):
+        for batch in batches:
+            of, key, value = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            order = np.argsort(of, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(of) else []:
+                yield pa.RecordBatch.from_arrays([pa.array(of[part[:1]], pa.int64()), binary(key[part], np.int64), binary(value[part], np.int32)], [group, "key", "id"])
+
+    return map_batches(rows.select(group, "key", "id"), run, f"{group} long, key binary, id binary")
+
+
+def look_up(keys: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The numbers of keys by a list of (keys, numbers), -1 where a key is not known."""
+    have, numbers = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64), np.empty(0, np.int32))
+    if not len(have):
+        return np.full(len(keys), -1, np.int32)
+    order = np.argsort(have)
+    at = np.minimum(np.searchsorted(have, keys, sorter=order), len(have) - 1)
+    return np.where(have[order[at]] == keys, numbers[order[at]], -1).astype(np.int32)
+
+
 def renumbered(blocks: DataFrame, lists: DataFrame, pairs: bool) -> DataFrame:
-    """block, ids: the blocks' rows in other numbers. ``lists``: block, known (key, id).
+    """block, ids: the blocks' rows in other numbers. ``lists``: block, key, id, each in octets, any number of rows for a block.
 
     A key is the old number or, if ``pairs``, two neighbouring ones; whatever is not known becomes -1.
     """
+    tasks = max(1, -(-blocks.count() // TASK_BLOCKS))  # so a task has few blocks, whatever their size once compressed
+    rows = blocks.select("block", F.lit(None).cast("binary").alias("key"), F.col("ids").alias("id"), F.lit(1).alias("last"))
+    both = lists.withColumn("last", F.lit(0)).unionByName(rows).repartition(tasks, "block").sortWithinPartitions("block", "last")
 
     def run(batches):
+        block, parts = None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(1)[i].as_buffer(), np.int32)
-                keys = pair_keys(ids) if pairs else ids.astype(np.int64)
-                known = batch.column(2)[i].values
-                have = known.field("key").to_numpy(zero_copy_only=False)
-                order = np.argsort(have)
-                have, new = have[order], known.field("id").to_numpy(zero_copy_only=False)[order]
-                at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-                out = np.where(have[at] == keys, new[at], -1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([out.tobytes()])], ["block", "ids"])
+                of = batch.column(0)[i].as_py()
+                if of != block:
+                    block, parts = of, []
+                value = np.frombuffer(batch.column(2)[i].as_buffer(), np.int32)
+                if not batch.column(3)[i].as_py():
+                    parts.append((np.frombuffer(batch.column(1)[i].as_buffer(), np.int64), value.copy()))
+                    continue
+                out = look_up(pair_keys(value) if pairs else value.astype(np.int64), parts)
+                if (out >= 0).any():
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), binary(out, np.int32)], ["block", "ids"])
+
+    return map_batches(both, run, "block long, ids binary")
 
-    return map_batches(blocks.select("block", "ids").join(lists, "block").select("block", "ids", "known"), run, "block long, ids binary")
 
+def pair_pieces(blocks: DataFrame, buckets: int) -> DataFrame:
+    """bucket, block, x, y, n: each pair x, y of numbers in a block and how often it is there, as arrays in octets.
 
-def pair_rows(blocks: DataFrame) -> DataFrame:
-    """block, key, n: each pair of numbers in a block and how often it is there."""
+    Pairs are dealt to buckets by a hash, so a bucket has all pieces of its pairs and a bounded share of all.
+    """
 
     def run(batches):
         for batch in batches:
@@ -139,18 +177,93 @@ def pair_rows(blocks: DataFrame) -> DataFrame:
                 keys = pair_keys(np.frombuffer(batch.column(1)[i].as_buffer(), np.int32))
                 keys = keys[keys >= 0]
                 x, y, n = tile_counts(keys >> 32, keys & 0xFFFFFFFF)
-                for a in range(0, len(x), 1 << 18):
-                    part = slice(a, a + (1 << 18))
-                    block = pa.array(np.full(len(x[part]), batch.column(0)[i].as_py(), np.int64))
-                    yield pa.RecordBatch.from_arrays([block, pa.array(x[part] << 32 | y[part]), pa.array(n[part])], ["block", "key", "n"])
+                bucket = bucket_of(x << 32 | y, buckets)
+                order = np.lexsort((y, x, bucket))
+                for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(x) else []:
+                    columns = [pa.array(bucket[part[:1]]), batch.column(0).slice(i, 1), *(binary(c[part], np.int32) for c in (x, y, n))]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "x", "y", "n"])
+
+    return map_batches(blocks.select("block", "ids"), run, "bucket long, block long, x binary, y binary, n binary")
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (splitmix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def keys_in(batch: pa.RecordBatch, i: int, column: int) -> np.ndarray:
+    """The pairs of a piece; x and y are in this and the next column."""
+    x, y = (np.frombuffer(batch.column(column + k)[i].as_buffer(), np.int32).astype(np.int64) for k in (0, 1))
+    return x << 32 | y
+
 
-    return map_batches(blocks.select("block", "ids"), run, "block long, key long, n long")
+def frequent_pairs(pieces: DataFrame, buckets: int, min_count: int) -> DataFrame:
+    """key, a: the pairs that occur often enough over all blocks."""
+    dealt = pieces.select("bucket", "x", "y", "n").repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
+    def run(batches):
+        bucket, keys, counts = None, [], []
+
+        def total():
+            if keys:
+                key, n = np.concatenate(keys), np.concatenate(counts)
+                order = np.argsort(key)
+                key, n = key[order], n[order]
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                n = np.add.reduceat(n, first)
+                often = n >= min_count
+                yield pa.RecordBatch.from_arrays([pa.array(key[first][often]), pa.array(n[often])], ["key", "a"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                of = batch.column(0)[i].as_py()
+                if of != bucket:
+                    yield from total()
+                    bucket, keys, counts = of, [], []
+                keys.append(keys_in(batch, i, 1))
+                counts.append(np.frombuffer(batch.column(3)[i].as_buffer(), np.int32).astype(np.int64))
+        yield from total()
+
+    return map_batches(dealt, run, "key long, a long")
+
+
+def known_pairs(pieces: DataFrame, ids: DataFrame, buckets: int) -> DataFrame:
+    """block, key, id in octets: what each piece has of the numbered pairs (``ids``: key, id)."""
+
+    def dealt(batches):
+        for batch in batches:
+            key = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket_of(key, buckets)), batch.column(0), batch.column(1)], ["bucket", "key", "id"])
 
-def frequent(rows: DataFrame, keys: list[str], min_count: int, label: str) -> DataFrame:
-    """The rows whose key occurs often enough over all blocks, with its count ``a``; stored."""
-    total = F.sum("n").over(Window.partitionBy(*keys))
-    return stored(rows.withColumn("a", total).where(F.col("a") >= min_count).drop("n"), label)
+    numbers = packed(map_batches(ids.select("key", F.col("id").cast("int").alias("id")), dealt, "bucket long, key long, id int"), "bucket")
+    empty = F.lit(None).cast("binary")
+    first = numbers.select("bucket", F.lit(-1).cast("long").alias("block"), empty.alias("x"), empty.alias("y"), "key", "id")
+    both = first.unionByName(pieces.select("bucket", "block", "x", "y", empty.alias("key"), empty.alias("id")))
+
+    def run(batches):
+        bucket, parts, have = None, [], None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                of = batch.column(0)[i].as_py()
+                if of != bucket:
+                    bucket, parts, have = of, [], None
+                if batch.column(1)[i].as_py() < 0:
+                    parts.append((np.frombuffer(batch.column(4)[i].as_buffer(), np.int64).copy(), np.frombuffer(batch.column(5)[i].as_buffer(), np.int32).copy()))
+                    continue
+                if have is None:  # the numbers come before the blocks
+                    have = [tuple(np.concatenate(c) for c in zip(*parts, strict=True))] if parts else []
+                keys = keys_in(batch, i, 2)
+                found = look_up(keys, have)
+                good = found >= 0
+                if good.any():
+                    yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, 1), binary(keys[good], np.int64), binary(found[good], np.int32)], ["block", "key", "id"])
+
+    return map_batches(both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block"), run, "block long, key binary, id binary")
+
+
+def frequent_words(rows: DataFrame, min_count: int) -> DataFrame:
+    """The rows (lang, word, n) whose word occurs often enough in its language over all blocks, with its count ``a``; stored."""
+    total = F.sum("n").over(Window.partitionBy("lang", "word"))  # a word has one row for each block
+    return stored(rows.withColumn("a", total).where(F.col("a") >= min_count).drop("n"), "frequent-words")
 
 
 def ranked(hits: DataFrame, keys: list[str], label: str) -> DataFrame:
@@ -167,11 +280,6 @@ def ranked(hits: DataFrame, keys: list[str], label: str) -> DataFrame:
     return found
 
 
-def in_blocks(hits: DataFrame, ids: DataFrame, keys: list[str], place: Column) -> DataFrame:
-    """block, known (key, id): what each block has of the numbered keys. Bounded by one block."""
-    return hits.drop("a").join(ids, keys).groupBy("block").agg(F.collect_list(F.struct(place.alias("key"), F.col("id").cast("int").alias("id"))).alias("known"))
-
-
 def phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, lang_col: str = "lang", text_col: str = "text") -> tuple[list[DataFrame], DataFrame]:
     """All frequent phrases, one stored table for each number of words, and the number of words of each language.
 
@@ -181,21 +289,24 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WO
     blocks = stored(blocks_of(docs, lang_col, text_col), "blocks")
     n_words = stored(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "language-sizes")
     rows = blocks.select("block", "lang", F.explode(F.expr("transform(words, (w, i) -> struct(w AS word, i AS place, counts[i] AS n))")).alias("w"))
-    hits = frequent(rows.select("block", "lang", "w.word", "w.place", "w.n"), ["lang", "word"], min_count, "frequent-words")
+    hits = frequent_words(rows.select("block", "lang", "w.word", "w.place", "w.n"), min_count)
     ids = ranked(hits, ["lang", "word"], "word-numbers")
-    numbers = stored(renumbered(blocks, in_blocks(hits, ids, ["lang", "word"], F.col("place").cast("long")), pairs=False), "word-rows")
+    places = hits.drop("a").join(ids, ["lang", "word"]).select("block", F.col("place").cast("long").alias("key"), F.col("id").cast("int").alias("id"))
+    numbers = stored(renumbered(blocks, packed(places, "block"), pairs=False), "word-rows")
     discard(blocks, hits)
+    buckets = max(1, (n_words.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS)
     # ends: the count and text of the last word, counts of the first word and of the first and last two words
     table = ids.select("lang", F.col("word").alias("phrase"), "a", "id", F.col("a").alias("first_a"), F.col("a").alias("last_a"), F.col("word").alias("last_word"), *(F.lit(None).cast("long").alias(c) for c in ("first_two", "last_two")))
     found = [stored(table, "phrases-1")]
     discard(ids)
     for words in range(2, max_words + 1):
-        hits = frequent(pair_rows(numbers), ["key"], min_count, "frequent-pairs")
+        pieces = stored(pair_pieces(numbers, buckets), "pair-pieces")
+        hits = stored(frequent_pairs(pieces, buckets, min_count), "frequent-pairs")
         ids = ranked(hits, ["key"], "pair-numbers")
         if words < max_words:
-            older, numbers = numbers, stored(renumbered(numbers, in_blocks(hits, ids, ["key"], F.col("key")), pairs=True), "phrase-rows")
+            older, numbers = numbers, stored(renumbered(numbers, known_pairs(pieces, ids, buckets), pairs=True), "phrase-rows")
             discard(older)
-        discard(hits)
+        discard(hits, pieces)
         halves = ids.select("a", "id", F.shiftrightunsigned("key", 32).alias("left"), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("right"))
         part = found[-1]
         x, y = (part.select(*(F.col(c).alias(f"{side}_{c}") for c in part.columns if c != "cuts")) for side in ("x", "y"))
