@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_everything_is_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(queries.SQL) <= set(names) and len(P.STAGES) == 5
 
 
