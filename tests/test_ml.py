@@ -224,3 +224,22 @@ def test_penalised_path_equals_cross_validation_by_mllib(spark):
         assert all(math.isclose(mine[p], theirs[p], rel_tol=1e-3) for p in penalties), (mix, mine, theirs)
     path = rows(RG.penalised_path(frame, "y", ["a", "b", "c"], 1.0, keys=["k"]))
     assert len(path) == 100 and math.isclose(path[0][0] / path[-1][0], 1e-4, rel_tol=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["ties", "distinct", "perfect", "no negatives", "no positives", "one row"])
+def test_curve_areas_equal_the_evaluator(spark, kind):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    draw = np.random.default_rng(6)
+    n = 1 if kind == "one row" else 500
+    labels = draw.integers(0, 2, n) if kind not in ("no negatives", "no positives") else np.full(n, int(kind == "no negatives"))
+    scores = np.round(draw.random(n) + labels * 0.3, 1) if kind == "ties" else draw.random(n) + labels * (2 if kind == "perfect" else 0.3)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(labels, scores, strict=True)], "label double, score double").repartition(7)
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    got = ME.binary_metrics(df.unionByName(spark.createDataFrame([(None, 0.5), (1.0, None)], df.schema))).first()
+    assert math.isclose(got.auroc, ev.evaluate(df, {ev.metricName: "areaUnderROC"}), abs_tol=1e-9)
+    assert math.isclose(got.auprc, ev.evaluate(df, {ev.metricName: "areaUnderPR"}), abs_tol=1e-9)
+
+
+def test_metrics_of_an_empty_table(spark):
+    assert tuple(ME.binary_metrics(spark.createDataFrame([], "label double, score double")).first()) == (0.0, 0.0, 0.0)
