@@ -18,7 +18,7 @@ PATIO_LABELS = ["small", "medium", "large", "extra_large"]
 ROOM_LABELS = ["small", "medium", "large"]
 BUILT_LABELS = ["Over 60 Years", "10 to 50 years old", "Newer than 10 years"]
 
-# Columns the original gold table fills, and those it requires, where present.
+# Columns the gold table fills, and those it requires, where present.
 GOLD_FILLS = {
     "BuildingQualityTypeDesc": "No information",
     "calculatedfinishedsquarefeet": 0,

@@ -329,3 +329,117 @@ def l07(fx: Fixtures) -> DataFrame:
     silver = property_silver(fx, "l07")
     db = fresh_database(fx.spark, "l07g")
     return P.load_property_gold(silver, GOLD_COLUMNS, f"{db}.gold_properties", today())
+
+
+def known(value: str, divisor: int) -> str:
+    """SQL that both engines read: a value that one size in ``divisor`` lacks."""
+    return f"CASE WHEN (p_size + {divisor}) % {divisor} <> 0 THEN {value} END"
+
+
+# The columns of the property tables and the lookups behind them.
+CODES = {
+    "airconditioningtypeid": ("AirConditioningDesc", 13),
+    "architecturalstyletypeid": ("ArchitecturalStyleDesc", 27),
+    "buildingclasstypeid": ("BuildingClassDesc", 5),
+    "heatingorsystemtypeid": ("HeatingOrSystemDesc", 25),
+    "propertylandusetypeid": ("PropertyLandUseDesc", 31),
+    "storytypeid": ("StoryDesc", 35),
+    "typeconstructiontypeid": ("TypeConstructionDesc", 18),
+    "buildingqualitytypeid": ("BuildingQualityTypeDesc", 12),
+}
+WIDE = {
+    "parcelid": "p_partkey",
+    "file_year": "CAST(2016 + p_partkey % 2 AS INT)",
+    "bathroomcnt": known("p_size % 4", 19),
+    "bedroomcnt": known("p_size % 6", 23),
+    "decktypeid": "CASE WHEN p_size % 8 = 0 THEN 66 END",
+    "calculatedfinishedsquarefeet": known("p_size * 40", 7),
+    "fireplaceflag": "CASE WHEN p_size % 3 = 0 THEN TRUE END",
+    "fullbathcnt": known("p_size % 3", 5),
+    "hashottuborspa": "CASE WHEN p_size % 5 = 0 THEN TRUE END",
+    "latitude": known("p_partkey % 180 - 90", 29),
+    "longitude": known("p_partkey % 360 - 180", 29),
+    "lotsizesquarefeet": known("p_size * 100", 13),
+    "poolcnt": "CASE WHEN p_size % 3 = 0 THEN 1 END",
+    "pooltypeid2": "CASE WHEN p_size % 10 = 0 THEN 1 END",
+    "pooltypeid10": "CASE WHEN p_size % 14 = 0 THEN 1 END",
+    "propertycountylandusecode": known("p_type", 31),
+    "censustractandblock": known("p_partkey * 1000", 37),
+    "regionidzip": known("p_partkey % 400", 41),
+    "roomcnt": known("p_size % 12", 9),
+    "unitcnt": known("p_size % 7", 11),
+    "yardbuildingsqft17": known("p_size * 10", 5),
+    "yardbuildingsqft26": "CASE WHEN p_size % 4 = 0 THEN p_size END",
+    "taxvaluedollarcnt": "p_retailprice",
+    "basementsqft": "CASE WHEN p_size % 6 = 0 THEN p_size * 20 END",
+    "yearbuilt": known("1950 + p_size * 2", 7),
+    "landtaxvaluedollarcnt": "p_size * 10 - 100",
+    "county_code": f"({known('CAST(p_partkey % 25 AS INT)', 6)}) * 1000 + 1",
+    "fips": known("CAST(p_partkey % 25 AS INT)", 6),
+    **{code: known(f"CAST(p_partkey % {n} AS INT)", 43 + k) for k, (code, (_, n)) in enumerate(CODES.items())},
+}
+WIDE_SQL = f"SELECT {', '.join(f'{v} AS {c}' for c, v in WIDE.items())} FROM part"
+LOOKUPS_SQL = ", ".join(
+    f"l{k} AS (SELECT DISTINCT CAST(p_partkey % {n} AS INT) AS key, concat('{out} ', p_partkey % {n}) AS {out} FROM part WHERE p_partkey % {n} <> 3)" for k, (out, n) in enumerate(CODES.values())
+)
+WIDE_SILVER_SQL = f"""w AS ({WIDE_SQL}), {LOOKUPS_SQL}, s AS (SELECT w.*, {", ".join(out for out, _ in CODES.values())},
+    lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state_fips, n_name AS state_code FROM w
+    {" ".join(f"LEFT JOIN l{k} ON w.{code} = l{k}.key" for k, code in enumerate(CODES))}
+    LEFT JOIN nation ON substr(lpad(CAST(county_code AS VARCHAR), 5, '0'), 1, 2) = lpad(CAST(n_nationkey AS VARCHAR), 2, '0'))"""
+
+
+def wide_silver(fx: Fixtures, label: str) -> DataFrame:
+    """All columns and all eight lookups; code 3 is in no lookup."""
+    part, lookups = fx.table("part"), []
+    for code, (out, n) in CODES.items():
+        key = (F.col("p_partkey") % n).cast("int")
+        rows = part.where(key != 3).select(key.alias("key"), F.concat(F.lit(f"{out} "), key.cast("string")).alias(out)).distinct()
+        lookups.append((code, rows, "key", [out]))
+    states = fx.table("nation").select(F.col("n_nationkey").alias("state_fips"), F.col("n_name").alias("state_code"))
+    facts = part.selectExpr(*(f"{v} AS {c}" for c, v in WIDE.items()))
+    return P.load_property_silver(facts, lookups, states, f"{fresh_database(fx.spark, label)}.silver_properties", county_code="county_code")
+
+
+@query("l06_property_silver_wide", f"WITH {WIDE_SILVER_SQL} SELECT * FROM s")
+def l06_wide(fx: Fixtures) -> DataFrame:
+    return wide_silver(fx, "l06w")
+
+
+# The columns of the gold table, in its order.
+WIDE_GOLD = [
+    "bathroomcnt", "bedroomcnt", "BuildingQualityTypeDesc", "decktypeid", "calculatedfinishedsquarefeet", "fips", "fireplaceflag", "fullbathcnt",
+    "hashottuborspa", "latitude", "longitude", "lotsizesquarefeet", "parcelid", "poolcnt", "pooltypeid2", "pooltypeid10",
+    "propertycountylandusecode", "propertylandusetypeid", "PropertyLandUseDesc", "censustractandblock", "regionidzip", "roomcnt", "unitcnt",
+    "yardbuildingsqft17", "yardbuildingsqft26", "taxvaluedollarcnt", "basementsqft", "state_code", "state_fips", "yearbuilt", "landtaxvaluedollarcnt",
+]
+FILL_SQL = {
+    "BuildingQualityTypeDesc": "'No information'",
+    "calculatedfinishedsquarefeet": "0",
+    "fireplaceflag": "FALSE",
+    "fullbathcnt": "0",
+    "hashottuborspa": "FALSE",
+    "lotsizesquarefeet": "0",
+    "unitcnt": "0",
+}
+
+
+@query(
+    "l07_property_gold_wide",
+    f"""WITH {WIDE_SILVER_SQL}
+      SELECT {", ".join(f"coalesce({c}, {FILL_SQL[c]}) AS {c}" if c in FILL_SQL else c for c in WIDE_GOLD)},
+        CASE WHEN yearbuilt IS NULL THEN NULL WHEN 2024 - yearbuilt <= 10 THEN '0 - 10 years old' WHEN 2024 - yearbuilt <= 60
+          THEN '10 - 60 years old' ELSE '60 or more years old' END AS Age_Group,
+        CASE WHEN decktypeid IS NULL THEN 0 ELSE 1 END AS hasdeck, CASE WHEN basementsqft IS NULL THEN 0 ELSE 1 END AS hasbasement,
+        CASE WHEN pooltypeid10 IS NULL AND pooltypeid2 IS NULL THEN 0 ELSE 1 END AS hashottub,
+        CASE WHEN yardbuildingsqft26 IS NULL THEN 0 ELSE 1 END AS hasyardstorage,
+        landtaxvaluedollarcnt / nullif(lotsizesquarefeet, 0) AS landpricepersqft,
+        CASE WHEN lotsizesquarefeet IS NULL THEN 0 ELSE 1 END AS lotexists,
+        CASE WHEN yardbuildingsqft17 IS NULL OR yardbuildingsqft17 = 0 THEN 'none' WHEN yardbuildingsqft17 < 200 THEN 'small'
+          WHEN yardbuildingsqft17 < 300 THEN 'medium' WHEN yardbuildingsqft17 < 400 THEN 'large' ELSE 'extra_large' END AS patiosize,
+        CASE WHEN poolcnt IS NULL THEN 'No' ELSE 'Yes' END AS pool,
+        CASE WHEN roomcnt = 0 THEN 'none' WHEN roomcnt <= 4 THEN 'small' WHEN roomcnt <= 8 THEN 'medium' ELSE 'large' END AS roomcntcat,
+        CAST(CASE WHEN unitcnt IS NULL THEN 0 WHEN unitcnt >= 5 THEN 5 ELSE unitcnt END AS INT) AS unitcntcat
+      FROM s WHERE {" AND ".join(f"{c} IS NOT NULL" for c in P.GOLD_REQUIRED)}""",
+)
+def l07_wide(fx: Fixtures) -> DataFrame:
+    return P.load_property_gold(wide_silver(fx, "l07w"), WIDE_GOLD, f"{fresh_database(fx.spark, 'l07wg')}.gold_properties", today())
