@@ -131,6 +131,38 @@ def m06(fx: Fixtures) -> DataFrame:
     )
 
 
+CAUSES = ["CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
+
+
+def delay_causes(fx: Fixtures) -> DataFrame:
+    """Flown flights with all five causes of delay; ``'NA'`` and unknown ones count as 0."""
+    li, o = fx.table("lineitem"), fx.table("orders")
+    line, key = F.col("l_linenumber"), F.col("l_orderkey")
+    cause = lambda n, value: F.when(line == n, "NA").when((key + n) % 3 != 0, value.cast("string"))
+    flights = li.join(o, li.l_orderkey == o.o_orderkey).where("l_returnflag <> 'R'").select(
+        F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).cast("string").alias("ArrDelay"),
+        F.col("l_quantity").alias("AirTime"),
+        F.col("l_extendedprice").alias("Distance"),
+        F.col("l_tax").alias("TaxiIn"),
+        F.col("l_discount").alias("TaxiOut"),
+        *(cause(n, (key * n + line) % (10 * n)).alias(c) for n, c in enumerate(CAUSES, 1)),
+        F.concat_ws("|", key, line).alias("flight"),
+    )
+    numbers = [parse_number("ArrDelay", "double").alias("ArrDelay"), "AirTime", "Distance", "TaxiIn", "TaxiOut"]
+    return complete_rows(flights.select("flight", *numbers, *(sentinel_to_zero(c).alias(c) for c in CAUSES)))
+
+
+@query("m06_elastic_net_causes")
+def m06_causes(fx: Fixtures) -> DataFrame:
+    """All five causes, fitted to a share of the rows and judged on another (weights 0.3 and 0.05, scaled to one)."""
+    features = ["AirTime", "Distance", "TaxiIn", "TaxiOut", *CAUSES]
+    rows = staged(delay_causes(fx), "m06c", spread=True)
+    train, test = FE.hash_split(rows, ["flight"], [0.3, 0.05])
+    fitted = RG.elastic_net(train, "ArrDelay", features)
+    judged = ME.regression_metrics(RG.predict(fitted, test, "ArrDelay", features), "ArrDelay").select(F.explode(F.array(*(F.struct(F.lit(f"({m})").alias("term"), F.col(m).alias("coefficient")) for m in ("rmse", "r2")))).alias("m"))
+    return RG.coefficient_table(rows, fitted, features).unionByName(judged.select("m.*"))
+
+
 # One predictor has a closed form: a soft-thresholded correlation on scaled columns, where the penalty
 # is divided by the label's deviation.
 PENALISED = """WITH c AS (SELECT count(*) AS n, avg(price_num) AS my, avg(sqft_lot) AS mx, stddev_samp(price_num) AS sy,
@@ -178,6 +210,15 @@ def m07(fx: Fixtures) -> DataFrame:
     return RG.cv_table(rows, best)
 
 
+@query("m07_gbt_grid")
+def m07_grid(fx: Fixtures) -> DataFrame:
+    """The full grid: two depths, two numbers of bins, 20 rounds, five folds; 21 fits."""
+    rows = training_rows(fx)
+    data = FE.feature_pipeline(rows, FEATURES, []).transform(rows)
+    stored = staged(RG.with_fold(data, ["row_id"], 5).select("target", "features", "fold"), "m07g", spread=True)
+    return RG.cv_table(rows, RG.gbt_cv(stored, fold_col="fold"))
+
+
 @query(
     "m09_reg_metrics",
     """WITH p AS (SELECT target, avg(target) OVER (PARTITION BY county) AS prediction FROM readings WHERE target IS NOT NULL),
