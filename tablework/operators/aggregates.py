@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.functions.expressions import as_col, correlation, format_pattern, late_flag, parse_number
@@ -228,6 +228,17 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
+def file_shape(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Row and column count of a frame and the octets of the data files (of any format) that it was read from."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files, octets = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True), 0
+    while files.hasNext():
+        status = files.next()
+        octets += 0 if status.getPath().getName().startswith(("_", ".")) else status.getLen()
+    return shape(df).withColumn("n_octets", F.lit(octets).cast("long"))
+
+
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width bins from minimum to maximum; the last bin holds the maximum; empty bins are listed.
 

@@ -15,13 +15,6 @@ from pyspark.sql import functions as F
 from tablework.functions.expressions import as_col, padded_prefix
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    on = F.lit(True)
-    for k in keys:
-        on = on & left[k].eqNullSafe(right[k])
-    return on
-
-
 def enrich(df: DataFrame, lookups: Sequence[tuple[str, DataFrame, str, Sequence[str]]]) -> DataFrame:
     """Chain of left joins code -> description.
 
@@ -72,6 +65,7 @@ def join_shifted(
 
 
 def join_exact(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str, how: str = "left") -> DataFrame:
+    """Join on equal keys, times to the last digit; dimension columns must not clash with facts, and a null key meets nothing."""
     return fact.join(dim, as_col(fact_key) == dim[dim_key], how)
 
 

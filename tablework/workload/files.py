@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablework.operators import aggregates as A
 from tablework.schemas import table
 from tablework.session import fresh_database, scratch_dir, staged
 from tablework.sinks import tables as K
@@ -64,6 +65,18 @@ def s01_malformed(fx: Fixtures) -> DataFrame:
     return good.unionByName(bad.select(F.lit("bad").alias("kind"), F.lit(None).cast("long").alias("c_custkey"), F.lit(None).cast("double").alias("c_acctbal"), "raw_text"))
 
 
+@query(
+    "a24_file_shape",
+    """SELECT count(*) AS n_rows, CAST(1 AS INT) AS n_cols,
+      CAST(sum(strlen(concat(o_orderkey, ',', o_custkey, ',', o_orderstatus, ',', o_orderpriority)) + 1) AS BIGINT) AS n_octets FROM orders""",
+)
+def a24_file_shape(fx: Fixtures) -> DataFrame:
+    """Size in rows, columns and octets of a file of order lines."""
+    path = scratch_dir(fx.spark, "a24")
+    fx.table("orders").select(F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")).write.text(path)
+    return A.file_shape(fx.spark, path, fx.spark.read.text(path))
+
+
 @query("s02_multi_file_scan", "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_nationkey < 5")
 def s02(fx: Fixtures) -> DataFrame:
     a = K.export_csv(fx.table("customer"), scratch_dir(fx.spark, "s02a"))

@@ -132,6 +132,18 @@ def j06(fx: Fixtures) -> DataFrame:
     )
 
 
+@query(
+    "j06_exact_instant",
+    """SELECT row_id, n_same, top FROM readings r LEFT JOIN
+      (SELECT datetime AS at, count(*) AS n_same, max(target) AS top FROM readings GROUP BY 1) m ON r.datetime = m.at""",
+    ("readings",),
+)
+def j06_instant(fx: Fixtures) -> DataFrame:
+    """Facts joined on the exact instant, fractions of seconds included."""
+    moments = fx.readings().groupBy(F.col("datetime").alias("at")).agg(F.count(F.lit(1)).alias("n_same"), F.max("target").alias("top"))
+    return J.join_exact(fx.readings().select("row_id", "datetime"), moments, "datetime", "at").select("row_id", "n_same", "top")
+
+
 @query(
     "j07_multiplicity",
     """WITH a AS (SELECT count(*) AS n FROM readings),
