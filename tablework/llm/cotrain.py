@@ -13,7 +13,7 @@ documents are scored where they lie.
 
 Results in odd cases: a null text counts as an empty one; null metadata is a value of its own; labels
 that are null or have no document teach nothing; without labels of both classes every document has score
-1 and is kept; repeated rows are scored alike; an empty table gives an empty result. Very long texts are
+1 and is kept; of rows whose confidences tie (in 32 bits) the first in the sample's order go first; repeated rows are scored alike; an empty table gives an empty result. Very long texts are
 read whole. ``reject`` returns the input's columns, whatever their names; ``classify`` carries no extra
 columns.
 """

@@ -76,3 +76,98 @@ def test_features_do_not_depend_on_neighbours():
     together = C.content_features(texts)
     alone = np.vstack([C.content_features([t]) for t in texts])
     assert np.allclose(together, alone)
+
+
+def plain_logistic(rows, y, ridge=C.RIDGE, steps=12):
+    """Newton's method in plain loops; the last weight is the intercept."""
+    from math import exp
+
+    rows = [[*map(float, r), 1.0] for r in rows]
+    d, n = len(rows[0]), len(rows)
+    penalty = [ridge * n / 100] * (d - 1) + [1e-9]
+    w = [0.0] * d
+    for _ in range(steps):
+        grid, slope = [[penalty[i] if i == j else 0.0 for j in range(d)] for i in range(d)], [penalty[i] * w[i] for i in range(d)]
+        for r, t in zip(rows, y, strict=True):
+            z = min(35.0, max(-35.0, sum(a * b for a, b in zip(r, w, strict=True))))
+            p = 1 / (1 + exp(-z))
+            curve = max(p * (1 - p), 1e-6)
+            for i in range(d):
+                slope[i] += r[i] * (p - t)
+                for j in range(d):
+                    grid[i][j] += curve * r[i] * r[j]
+        for i in range(d):  # elimination with the largest pivot
+            best = max(range(i, d), key=lambda k: abs(grid[k][i]))
+            grid[i], grid[best], slope[i], slope[best] = grid[best], grid[i], slope[best], slope[i]
+            for k in range(i + 1, d):
+                f = grid[k][i] / grid[i][i]
+                slope[k] -= f * slope[i]
+                grid[k] = [a - f * b for a, b in zip(grid[k], grid[i], strict=True)]
+        move = [0.0] * d
+        for i in reversed(range(d)):
+            move[i] = (slope[i] - sum(grid[i][j] * move[j] for j in range(i + 1, d))) / grid[i][i]
+        w = [a - b for a, b in zip(w, move, strict=True)]
+        if max(map(abs, move)) < 1e-6:
+            break
+    return w
+
+
+def plain_co_training(views, y, held, pool, rounds):
+    """The rounds written out row by row; also which rows of the pool each view was taught, in order."""
+    from math import ceil, exp, log
+
+    z = lambda r, w: sum(float(a) * b for a, b in zip(r, w, strict=False)) + w[-1]
+    p = lambda v: 1 / (1 + exp(-min(35.0, max(-35.0, v))))
+    taught = [[(list(r), t) for r, t, h in zip(x, y, held, strict=True) if not h] for x in views]
+    good = sum(t for _, t in taught[0]) / len(taught[0])
+    free, told = set(range(len(pool[0]))), [[], []]
+    learn = lambda: [plain_logistic([r for r, _ in rows], [t for _, t in rows]) for rows in taught]
+    weights = learn()
+    for _ in range(rounds):
+        chosen = []
+        for k in (0, 1):
+            for label, part in ((1.0, good), (0.0, 1 - good)):
+                single = {i: np.float32(1) / (np.float32(1) + np.exp(-np.float32(np.clip(z(pool[k][i], weights[k]), -35, 35)))) for i in free}  # confidences have 32 bits
+                sure = {i: v if label else np.float32(1) - v for i, v in single.items()}
+                able = sorted((i for i in free if sure[i] >= C.SURE), key=lambda i: (-sure[i], i))
+                chosen.append((1 - k, able[: ceil(C.SHARE * part * len(pool[0]))], label))
+        for k, rows, label in chosen:
+            taught[k] += [(list(pool[k][i]), label) for i in rows]
+            told[k] += [(i, label) for i in rows]
+            free -= set(rows)
+        if not any(rows for _, rows, _ in chosen):
+            break
+        weights = learn()
+    kept = [(i, t) for i, (t, h) in enumerate(zip(y, held, strict=True)) if h]
+    slopes = []
+    for x, w in zip(views, weights, strict=True):
+        scaled = [[min(35.0, max(-35.0, z(x[i], w)))] for i, _ in kept]
+        slopes.append(plain_logistic(scaled, [t for _, t in kept], ridge=1.0))
+    share = sum(t for _, t in kept) / len(kept)
+    prior = log(share / (1 - share))
+    return weights, slopes, lambda a, b: p(sum(c[0] * z(r, w) + c[1] for r, w, c in zip((a, b), weights, slopes, strict=True)) - prior), told
+
+
+@pytest.mark.parametrize("seed, tied", [(3, False), (4, False), (5, True)])
+def test_rounds_equal_plain_loops(seed, tied):
+    rng = np.random.default_rng(seed)
+    n, known = 200, 60
+    y = (rng.random(n) < 0.6).astype(float)
+    content = (rng.normal(size=(n, 3)) + (2 * y[:, None] - 1) * [1.6, 0.8, 0]).astype(np.float32)
+    page = (rng.normal(size=(n, 2)) + (2 * y[:, None] - 1) * [1.2, 0.3]).astype(np.float32)
+    if tied:  # many rows of the pool are alike, so confidences tie at the cut and the first rows go first
+        content, page = np.round(content), np.round(page)
+    views, pool, held = (content[:known], page[:known]), (content[known:], page[known:]), np.arange(known) % 4 == 0
+    model = C.co_train(views, y[:known], held, pool, rounds=3)
+    weights, slopes, score, told = plain_co_training(views, y[:known], held, pool, 3)
+    assert all(len(t) > 5 for t in told)
+    for got, want in zip(model.weights, weights, strict=True):
+        assert np.allclose(got, want, rtol=1e-3, atol=1e-3)
+    for got, want in zip(model.calibration, slopes, strict=True):
+        assert np.allclose(got, want, rtol=1e-2, atol=1e-2)
+    found = model.scores((content, page))
+    assert np.allclose(found, [score(a, b) for a, b in zip(content, page, strict=True)], atol=5e-3)
+
+
+def test_empty_table(spark, docs_of):
+    assert C.classify(docs_of([]), spark.createDataFrame([(1, 1, 0), (2, 0, 0)], LABELS)).count() == 0

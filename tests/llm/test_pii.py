@@ -80,3 +80,7 @@ def test_registered_query_digests(spark, docs_of, tmp_path):
     rows = {r.doc_id: r for r in queries.op5_pii_spans(spark, str(tmp_path)).collect()}
     assert (rows[1].n_email, rows[1].spans, rows[2].spans) == (1, "email:0:8", "")
     assert [rows[i].base_sha256 for i in (1, 2)] == [hashlib.sha256(x.encode()).hexdigest() for x in ("email:0:8", "")]
+
+
+def test_empty_table(spark, docs_of):
+    assert pii.find_personal_data(docs_of([])).count() == 0 and pii.redact(docs_of([])).count() == 0

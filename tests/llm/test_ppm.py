@@ -93,3 +93,10 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
     rows = queries.op4_language_ppm(spark, sf).where("held_out").join(docs, "doc_id").collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows) and len(rows) > 150
+
+
+def test_empty_table(spark, docs_of):
+    model = ppm.fit(ppm.training_rows(docs_of([])))
+    assert ppm.predict(docs_of([]), model).count() == 0
+    taught = ppm.fit(ppm.training_rows(docs_of([(1, "one two three", "en")])))
+    assert ppm.predict(docs_of([]), taught).count() == 0
