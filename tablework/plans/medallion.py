@@ -90,7 +90,7 @@ def load_silver(spark: SparkSession, db: str, table: str, keys: Sequence[str] |
     """
     keys, name, held_name = list(keys or SILVER_KEYS[table]), f"{db}.silver_{table}", f"{db}.silver_{table}_incomplete"
     changes = Changes(spark, db, f"bronze_{table}", f"silver_{table}")
-    if not changes.any():
+    if not changes.any() and spark.catalog.tableExists(name):
         return spark.table(name).count()
     fresh = changes.rows()
     silver = possible_matches(spark, db, table, fresh, keys, changes)
@@ -195,7 +195,7 @@ def load_gold(spark: SparkSession, db: str, checkpoint: str, dataset: str = "tra
         if dates is None or dates:
             rows = silver(dataset) if dates is None else on_dates(silver(dataset), "datetime", dates)
             done["gold_consumption_production_aggregate"] = merge_dates(spark, target, consumption_production(rows), "date", dates)
-        if any(c.any() for c in inputs):
+        if any(c.any() for c in inputs) or not spark.catalog.tableExists(f"{db}.gold_all_features"):
             features_of(spark, db, dataset, grain, facts, prices, client, listed)
     target = f"{db}.gold_energy_prices_aggregate"
     whole = any(c.all for c in prices.values())

@@ -128,3 +128,13 @@ def test_gold_loads_in_steps_equal_a_full_build(spark, db):
     ME.load_gold(spark, db, scratch_dir(spark, "full"))
     assert contents(spark, db) == in_steps
     assert ME.load_gold(spark, db, scratch_dir(spark, "idle")) == {}
+
+
+def test_empty_bronze_gives_empty_layers(spark, db):
+    for t, schema in (("train", schemas.READINGS), ("gas_prices", schemas.GAS_PRICES), ("electricity_prices", schemas.ELECTRICITY_PRICES), ("client", schemas.CLIENT)):
+        bronze(spark, db, t, [], schema)
+    load(spark, db, scratch_dir(spark, "none"))
+    assert all(not found for found in contents(spark, db).values())
+    gold_inputs(spark, db, [0, 1])
+    load(spark, db, scratch_dir(spark, "none"))
+    assert len(contents(spark, db)["gold_all_features"]) == 6 + 6 * 6 and len(contents(spark, db)["gold_energy_prices_aggregate"]) == 2
