@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from tablework.session import scratch_dir
 
+BATCH_SETTING, BATCH_OCTETS = "spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
@@ -38,8 +39,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+    """``mapInArrow`` with a function of this package.
+
+    Batches are cut by octets as well as by rows, unless the session says otherwise: ten thousand long texts are
+    no batch for one worker. The setting changes no result.
+    """
     ship(df.sparkSession)
+    if df.sparkSession.conf.get(BATCH_SETTING, None) is None:
+        df.sparkSession.conf.set(BATCH_SETTING, BATCH_OCTETS)
     return df.mapInArrow(run, schema)
 
 

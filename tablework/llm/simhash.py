@@ -17,7 +17,6 @@ are carried by ``keep_one`` only, whose own column takes a name that is free.
 
 from __future__ import annotations
 
-import math
 from itertools import repeat
 
 import numpy as np
@@ -25,15 +24,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tablework.llm.common import discard, free_name, groups_of, id_and_text, map_batches, splitmix, stored
+from tablework.llm.common import free_name, groups_of, id_and_text, map_batches, stored
+from tablework.llm.graphs import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
-SIMILARITY = 0.8  # of sets of shingles, where near copies are asked for by similarity
-BANDS, ROWS = 24, 4  # a pair that similar shares one of 24 keys of four minima with a probability of 0.999997
-SKETCH_WORDS = 8  # 64-bit words of parities
-SAMPLE_DOCS, COMMON_DOCS, COMMON = 2_000, 3, 1 << 16  # shingles that so many of the sampled documents have come last in the order
 LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 GROUP_BYTES = 1 << 20
 LANES = np.uint64(0x0101010101010101)
@@ -71,61 +67,6 @@ def fingerprints(hashes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(hashes: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
-    """Keys of each text: in every band a hash of the smallest values that ``rows`` permutations give its shingles."""
-    out = np.zeros((len(hashes), bands), np.uint64)
-    sizes = np.array([len(h) for h in hashes], np.int64)
-    full = np.flatnonzero(sizes)
-    if not len(full):
-        return out
-    flat = np.concatenate([hashes[i] for i in full])
-    starts = np.cumsum(sizes[full]) - sizes[full]
-    factors = splitmix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
-    for band in range(bands):
-        key = np.full(len(full), band + 1, np.uint64)
-        for factor in factors[band * rows : (band + 1) * rows]:
-            key = splitmix(key ^ np.minimum.reduceat(flat * factor, starts))
-        out[full, band] = key
-    return out
-
-
-def in_order(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Distinct hashes in the order that all texts share: by value, but those known to be common last, by how common."""
-    own = np.unique(hashes.view(np.int64))
-    known, counts = common
-    if not len(known):
-        return own
-    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-    return own[np.lexsort((own, np.where(known[at] == own, counts[at], 0)))]
-
-
-def prefix_size(n: int, similarity: float) -> int:
-    """Two sets that similar share one of their first so many members in any order that both keep."""
-    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
-
-
-def parities(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set whether each of 512 bins holds an odd number of its members: two sets differ in as many members at least as in bins."""
-    bins = 64 * SKETCH_WORDS
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    at = row * bins + (np.concatenate([np.empty(0, np.int64), *sets]) & (bins - 1))
-    odd = np.bincount(at, minlength=len(sets) * bins).reshape(-1, bins) & 1
-    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
-
-
-def common_shingles(docs: DataFrame, size: int, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles that many documents of a sample have, and in how many.
-
-    They only move to the end of the order, so that few sets have them in their prefix; any order finds all pairs.
-    """
-    every = max(1, docs.count() // SAMPLE_DOCS)
-    text = F.col(text_col)
-    sample = docs.where(text.isNotNull()).where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(F.xxhash64(text).alias("node"), text.alias("text"))
-    counts = shingle_sets(sample, size, (np.empty(0, np.int64), np.empty(0, np.int64))).select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    found = sorted((r.h, r.n) for r in counts.where(F.col("n") >= COMMON_DOCS).orderBy(F.desc("n")).limit(COMMON).collect())
-    return np.array([h for h, _ in found], np.int64), np.array([n for _, n in found], np.int64)
-
-
 def with_fingerprints(docs: DataFrame, name: str, size: int = SHINGLE, text_col: str = "text") -> DataFrame:
     """All columns of the frame and a fingerprint (64 bits as a signed long) of a text column."""
     at = docs.columns.index(text_col)
@@ -141,34 +82,6 @@ def with_fingerprints(docs: DataFrame, name: str, size: int = SHINGLE, text_col:
     return map_batches(docs, run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
-def with_sets(docs: DataFrame, names: list[str], size: int, similarity: float, common: tuple[np.ndarray, np.ndarray], text_col: str = "text") -> DataFrame:
-    """All columns of the frame and, under the given names, what the search by similarity needs of a text column.
-
-    A hash of its distinct shingles (equal sets are one node), band keys, the prefix of the set for that
-    similarity, parities of the set, and its size.
-    """
-    at = docs.columns.index(text_col)
-
-    def run(batches):
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            nodes, bands, firsts, odd, counts = [], [], [], [], []
-            for a, b in groups_of([len(t) for t in texts], GROUP_BYTES):
-                hashes = [shingle_hashes(t, size) for t in texts[a:b]]
-                bands += list(band_keys(hashes, BANDS, ROWS).view(np.int64))
-                sets = [in_order(h, common) for h in hashes]
-                nodes += [xxhash.xxh64_intdigest(x.tobytes(), SEED) if len(x) else 0 for x in sets]
-                odd += list(parities(sets))
-                firsts += [x[: prefix_size(len(x), similarity)] for x in sets]
-                counts += [len(x) for x in sets]
-            longs = pa.list_(pa.int64())
-            added = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(bands, longs), pa.array(firsts, longs), pa.array(odd, longs), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *names])
-
-    types = (LongType(), *[ArrayType(LongType())] * 3, LongType())
-    return map_batches(docs, run, StructType([*docs.schema.fields, *map(StructField, names, types)]))
-
-
 def fingerprint_documents(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp."""
     return with_fingerprints(id_and_text(docs, id_col, text_col), "fp", size).select("doc_id", "fp")
@@ -199,32 +112,6 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return found.select(F.least("x", "fp").alias("a"), F.greatest("x", "fp").alias("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of a stored table of edges a, b: node, root (the smallest node of its component); stored.
-
-    Nodes may have any type that has an order. Each round takes the smallest label around a node, hands it to the
-    node's former root as well, and follows the new labels one step, so chains shrink by a factor per
-    round. Every round is stored, and what it replaces is deleted.
-    """
-    both = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other"))), "links")
-    labels = stored(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root")), "labels")
-    while True:
-        around = both.join(labels.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("seen"))
-        offered = labels.join(around, "node").select("node", "root", F.least("root", "seen").alias("seen"))
-        told = stored(
-            offered.select("node", F.col("seen").alias("root")).unionByName(offered.select(F.col("root").alias("node"), F.col("seen").alias("root")))
-            .groupBy("node").agg(F.min("root").alias("root")), "labels-told"
-        )
-        jump = told.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        newer = stored(told.join(jump, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
-        changed = newer.join(labels.withColumnRenamed("root", "old"), "node").where("root <> old").limit(1).count()
-        discard(told, labels)
-        labels = newer
-        if not changed:
-            discard(both)
-            return labels
-
-
 def groups(rows: DataFrame, radius: int = RADIUS, edges: DataFrame | None = None) -> DataFrame:
     """One row per fingerprint of a stored table doc_id, fp: fp, first_id, n_rows, n_first, n_links, root.
 
@@ -254,120 +141,29 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")
 
 
-def shingle_sets(texts: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """node, shingles (distinct hashes in the shared order). Input: node, text."""
-
-    def run(batches):
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in groups_of([len(t) for t in texts], GROUP_BYTES):
-                sets = [in_order(shingle_hashes(t, size), common) for t in texts[a:b]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    return map_batches(texts.select("node", "text"), run, "node long, shingles array<bigint>")
-
-
-def sets_of(marked: DataFrame, nodes: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray], label: str) -> DataFrame:
-    """node, shingles of the given nodes; stored."""
-    texts = marked.join(nodes, "node", "left_semi").select("node", "text").groupBy("node").agg(F.min("text").alias("text"))
-    return stored(shingle_sets(texts, size, common), label)
-
-
-def within(similarity: float):
-    """Whether two sets x, y (n, odd) may be that similar: they differ in no fewer members than bins of their parities."""
-    differing = sum((F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("x.odd")[0].bitwiseXOR(F.col("y.odd")[0])))
-    return differing <= (1 - similarity) / (1 + similarity) * (F.col("x.n") + F.col("y.n")) + 1e-6
-
-
-def star_links(marked: DataFrame, distinct: DataFrame, size: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Most links, at little cost: for each band key, each node with one head of those that share it.
-
-    A bucket of any size gives as many pairs as it has members, and each band has heads of its own. The
-    sets of shingles decide.
-    """
-    member = distinct.where("n > 0").select("node", F.posexplode("keys").alias("band", "key"))
-    head = F.min(F.struct(F.xxhash64("node", "band").alias("draw"), F.col("node").alias("head"))).alias("best")
-    heads = stored(member.groupBy("band", "key").agg(head, F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key", "best.head"), "band-heads")
-    pairs = member.join(heads, ["band", "key"]).where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-    sizes = distinct.select("node", "n", "odd")
-    pairs = pairs.join(sizes.alias("x"), F.col("a") == F.col("x.node")).join(sizes.alias("y"), F.col("b") == F.col("y.node")).where(within(similarity)).select("a", "b")
-    pairs = stored(pairs, "candidate-links")
-    sets = sets_of(marked, stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidate-nodes"), size, common, "candidate-shingles")
-    left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
-    both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b")
-
-
-def links_between(marked: DataFrame, distinct: DataFrame, labels: DataFrame, size: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """All links a, b between nodes of different groups of ``labels`` (node, root). An exact join of sets.
-
-    Two sets that similar share a member of their prefixes, so the nodes meet there. Members that only
-    one group has are left out, so a group that is known to be one makes no pairs however large it is.
-    Where nodes meet, the members that can still be shared after that place and the parities bound the
-    similarity; only places where a node first meets a partner within these bounds get its set, and the
-    sets are compared inside the join, so only links are rows.
-    """
-    tokens = marked.select("node", F.posexplode("prefix").alias("at", "h"))
-    several = stored(tokens.groupBy("h").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").select("h"), "several-shingles")
-    shared_places = tokens.join(several, "h", "left_semi").distinct().join(labels, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"), "at")
-    shared_places = stored(shared_places, "shared-places")
-    mixed = stored(shared_places.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h"), "mixed-shingles")
-    sizes = distinct.select("node", "n", "odd")
-    places = stored(shared_places.join(mixed, "h", "left_semi").join(sizes, "node").select("h", "node", "root", "n", "at", "odd"), "mixed-places")
-
-    total = F.col("x.n") + F.col("y.n")
-    left_over = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    may = (
-        (F.col("x.h") == F.col("y.h"))
-        & (F.col("x.root") != F.col("y.root"))
-        & (left_over >= similarity / (1 + similarity) * total - 1e-6)
-        & within(similarity)
-    )
-    close = stored(places.alias("x").join(places.alias("y"), may, "left_semi"), "close-places")
-    sets = sets_of(marked, stored(close.select("node").distinct(), "close-nodes"), size, common, "close-shingles")
-    befores = stored(close.join(sets, "node").select(*close.columns, F.slice("shingles", F.lit(1), F.col("at")).alias("before")), "close-prefixes")
-    may = may & ~F.arrays_overlap(F.col("x.before"), F.col("y.before"))
-    firsts = stored(befores.alias("x").join(befores.alias("y"), may, "left_semi"), "first-places")
-    members = stored(firsts.join(sets, "node"), "first-members")
-    shared = F.size(F.array_intersect("x.shingles", "y.shingles"))
-    found = members.alias("x").join(members.alias("y"), may & (F.col("x.node") < F.col("y.node")) & (shared >= similarity * (total - shared)))
-    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-
-
-def similar_links(marked: DataFrame, size: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Links a, b that connect all nodes whose texts are at least this similar. ``marked`` is stored: node, keys, prefix, odd, n, text.
-
-    No radius that the grid can search reaches a similarity of 0.8 (see the README). Stars around the
-    heads of band keys connect most of each group; an exact join adds every link between what they left apart.
-    """
-    distinct = stored(marked.select("node", "keys", "odd", "n").dropDuplicates(["node"]), "distinct-nodes")
-    stars = stored(star_links(marked, distinct, size, similarity, common), "star-links")
-    return stars.unionByName(links_between(marked, distinct, components(stars), size, similarity, common))
-
-
 def keep_one(
     docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The documents without near duplicates: of each group the row with the smallest id stays (null ids count as largest).
 
-    Links are fingerprints within the radius or, if a similarity is given, texts whose sets of shingles
-    are at least that similar; fingerprints play no part then.
+    Links are fingerprints within the radius. If a similarity is given, such links are checked by the texts'
+    sets of shingles, and all other texts whose sets are at least that similar are linked too.
     """
-    name, edges = free_name(docs, "fp"), None
     if similarity:
-        names = [name, *(free_name(docs, c) for c in ("band_keys", "prefix", "parities", "n_shingles"))]
-        common = common_shingles(docs, size, text_col)
-        marked = stored(with_sets(docs, names, size, similarity, common, text_col), "marked-documents")
-        own = marked.select(*(F.col(c).alias(a) for c, a in zip(names, ("node", "keys", "prefix", "odd", "n"), strict=True)), F.col(text_col).alias("text"))
-        edges = stored(similar_links(own, size, similarity, common), "similar-links")
-    else:
-        marked = stored(with_fingerprints(docs, name, size, text_col), "marked-documents")
-    per_fp = groups(marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(name).alias("fp")), radius, edges)
-    best = F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "fp", "n_first")).alias("best")
-    heads = per_fp.groupBy("root").agg(best).select(F.col("best.fp").alias("head_fp"), F.col("best.first_id").alias("head_id"), F.col("best.n_first").alias("head_rows"))
-    heads = stored(heads, "group-heads")
+        from tablework.llm import similar  # which builds on this module
+
+        return similar.keep_one(docs, size, similarity, id_col, text_col)
+    name = free_name(docs, "fp")
+    marked = stored(with_fingerprints(docs, name, size, text_col), "marked-documents")
+    per_fp = groups(marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col(name).alias("fp")), radius)
+    heads = stored(group_heads(per_fp), "group-heads")
     staying = marked.alias("d").join(heads.alias("h"), (F.col(f"d.{name}") == F.col("h.head_fp")) & F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("h.head_id")))
     once = staying.where("h.head_rows = 1").select("d.*")
     again = staying.where("h.head_rows > 1").select("d.*").dropDuplicates([id_col, name])
     return once.unionByName(again).select(*docs.columns)
+
+
+def group_heads(per_fp: DataFrame) -> DataFrame:
+    """head_fp, head_id, head_rows of each group: the document that stays."""
+    best = F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "fp", "n_first")).alias("best")
+    return per_fp.groupBy("root").agg(best).select(F.col("best.fp").alias("head_fp"), F.col("best.first_id").alias("head_id"), F.col("best.n_first").alias("head_rows"))

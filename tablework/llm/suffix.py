@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.llm.common import discard, groups_of, map_batches, splitmix, stored
-from tablework.llm.simhash import components
+from tablework.llm.graphs import components
 
 MIN_WORDS, WINDOW, GRAM = 50, 16, 5
 GROUP_BYTES = 1 << 20
