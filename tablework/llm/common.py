@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from tablework.session import scratch_dir
 
-BATCH_SETTING, BATCH_OCTETS = "spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20
+BATCH_SETTING, BATCH_OCTETS = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
