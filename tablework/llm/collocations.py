@@ -99,7 +99,7 @@ def blocks_of(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
                     columns = [
                         pa.array([TaskContext.get().partitionId() << 32 | made]),
                         pa.array([lang]),
-                        pa.array([ids.tobytes()]),
+                        binary(ids, np.int32),
                         pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), strings),
                         pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts, pa.int64())),
                         pa.array([int(counts.sum())]),
@@ -112,7 +112,14 @@ def blocks_of(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
 
 def binary(values: np.ndarray, kind) -> pa.Array:
-    return pa.array([np.ascontiguousarray(values, kind).tobytes()])
+    """Numbers as octets: first the lowest octet of all, then the next, so that the high ones, which hardly change, compress to little."""
+    octets = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+    return pa.array([octets.T.tobytes()])
+
+
+def numbers_in(value: pa.BinaryScalar, kind) -> np.ndarray:
+    octets = np.frombuffer(value.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(octets.T).view(kind).ravel()
 
 
 def packed(rows: DataFrame, group: str) -> DataFrame:
@@ -154,9 +161,9 @@ def renumbered(blocks: DataFrame, lists: DataFrame, pairs: bool) -> DataFrame:
                 of = batch.column(0)[i].as_py()
                 if of != block:
                     block, parts = of, []
-                value = np.frombuffer(batch.column(2)[i].as_buffer(), np.int32)
+                value = numbers_in(batch.column(2)[i], np.int32)
                 if not batch.column(3)[i].as_py():
-                    parts.append((np.frombuffer(batch.column(1)[i].as_buffer(), np.int64), value.copy()))
+                    parts.append((numbers_in(batch.column(1)[i], np.int64), value))
                     continue
                 out = look_up(pair_keys(value) if pairs else value.astype(np.int64), parts)
                 if (out >= 0).any():
@@ -166,7 +173,7 @@ def renumbered(blocks: DataFrame, lists: DataFrame, pairs: bool) -> DataFrame:
 
 
 def pair_pieces(blocks: DataFrame, buckets: int) -> DataFrame:
-    """bucket, block, x, y, n: each pair x, y of numbers in a block and how often it is there, as arrays in octets.
+    """bucket, block, x, y, n: each pair x, y of numbers in a block and how often it is there, as arrays in octets; x in steps.
 
     Pairs are dealt to buckets by a hash, so a bucket has all pieces of its pairs and a bounded share of all.
     """
@@ -174,13 +181,13 @@ def pair_pieces(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                keys = pair_keys(np.frombuffer(batch.column(1)[i].as_buffer(), np.int32))
+                keys = pair_keys(numbers_in(batch.column(1)[i], np.int32))
                 keys = keys[keys >= 0]
                 x, y, n = tile_counts(keys >> 32, keys & 0xFFFFFFFF)
                 bucket = bucket_of(x << 32 | y, buckets)
                 order = np.lexsort((y, x, bucket))
                 for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(x) else []:
-                    columns = [pa.array(bucket[part[:1]]), batch.column(0).slice(i, 1), *(binary(c[part], np.int32) for c in (x, y, n))]
+                    columns = [pa.array(bucket[part[:1]]), batch.column(0).slice(i, 1), *(binary(c, np.int32) for c in (np.diff(x[part], prepend=0), y[part], n[part]))]
                     yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "x", "y", "n"])
 
     return map_batches(blocks.select("block", "ids"), run, "bucket long, block long, x binary, y binary, n binary")
@@ -191,8 +198,9 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def keys_in(batch: pa.RecordBatch, i: int, column: int) -> np.ndarray:
-    """The pairs of a piece; x and y are in this and the next column."""
-    x, y = (np.frombuffer(batch.column(column + k)[i].as_buffer(), np.int32).astype(np.int64) for k in (0, 1))
+    """The pairs of a piece; the steps of x and y are in this and the next column."""
+    x = np.cumsum(numbers_in(batch.column(column)[i], np.int32), dtype=np.int64)
+    y = numbers_in(batch.column(column + 1)[i], np.int32).astype(np.int64)
     return x << 32 | y
 
 
@@ -220,7 +228,7 @@ def frequent_pairs(pieces: DataFrame, buckets: int, min_count: int) -> DataFrame
                     yield from total()
                     bucket, keys, counts = of, [], []
                 keys.append(keys_in(batch, i, 1))
-                counts.append(np.frombuffer(batch.column(3)[i].as_buffer(), np.int32).astype(np.int64))
+                counts.append(numbers_in(batch.column(3)[i], np.int32).astype(np.int64))
         yield from total()
 
     return map_batches(dealt, run, "key long, a long")
@@ -247,7 +255,7 @@ def known_pairs(pieces: DataFrame, ids: DataFrame, buckets: int) -> DataFrame:
                 if of != bucket:
                     bucket, parts, have = of, [], None
                 if batch.column(1)[i].as_py() < 0:
-                    parts.append((np.frombuffer(batch.column(4)[i].as_buffer(), np.int64).copy(), np.frombuffer(batch.column(5)[i].as_buffer(), np.int32).copy()))
+                    parts.append((numbers_in(batch.column(4)[i], np.int64), numbers_in(batch.column(5)[i], np.int32)))
                     continue
                 if have is None:  # the numbers come before the blocks
                     have = [tuple(np.concatenate(c) for c in zip(*parts, strict=True))] if parts else []
