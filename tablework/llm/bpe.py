@@ -35,7 +35,7 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, IN_WHITE, ONE_LEFT, TWO_L
 STARTS = 8  # added to the symbol of a text's first code point
 
 GROUP_CHARS = 1 << 18
-CACHE_SLICES = 800_000
+CACHE_SLICES = 400_000
 BLOCK = 256
 
 

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablework.session import scratch_dir
 
-BATCH_SETTING, BATCH_OCTETS = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+BATCH_SETTING, BATCH_OCTETS = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
@@ -38,16 +40,36 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can: a worker that waits for its next task keeps what its last one took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """The same batches; when the last of them is out, the worker keeps no freed memory."""
+
+    def freed(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return freed
+
+
 def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function of this package.
 
     Batches are cut by octets as well as by rows, unless the session says otherwise: ten thousand long texts are
-    no batch for one worker. The setting changes no result.
+    no batch for one worker. The setting changes no result. Workers outlive their tasks, so each task gives its memory back.
     """
     ship(df.sparkSession)
     if df.sparkSession.conf.get(BATCH_SETTING, None) is None:
         df.sparkSession.conf.set(BATCH_SETTING, BATCH_OCTETS)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(giving_back(run), schema)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
