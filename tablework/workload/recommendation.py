@@ -50,7 +50,7 @@ def stored_baskets(fx: Fixtures) -> DataFrame:
 
 
 def model(fx: Fixtures):
-    return B.fit_itemsets(stored_baskets(fx), SUPPORT, CONFIDENCE)
+    return B.mine_itemsets(stored_baskets(fx), SUPPORT, CONFIDENCE)
 
 
 @query(
@@ -81,7 +81,7 @@ def r06(fx: Fixtures) -> DataFrame:
 )
 def r07(fx: Fixtures) -> DataFrame:
     basket = stored_baskets(fx)
-    out = B.apply_rules(B.fit_itemsets(basket, SUPPORT, CONFIDENCE), basket)
+    out = B.apply_rules(B.mine_itemsets(basket, SUPPORT, CONFIDENCE), basket)
     return out.select("User_ID", F.array_join("prediction", ",").alias("prediction"))
 
 

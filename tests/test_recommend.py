@@ -66,3 +66,17 @@ def test_ids_that_do_not_fit_are_refused_or_numbered(spark):
     assert rows(R.named(triples, users, items)) == [("1", "2", 3.0), ("5000000000", "2", 4.0), ("x", "y", 5.0)]
     wide = spark.range(5_000_000_000, 5_000_003_000).withColumnRenamed("id", "k")
     assert rows(R.number_ids(wide, "k", "n"), "n") == [(i,) for i in range(3000)]
+
+
+def test_mined_itemsets_equal_those_of_fp_growth_and_are_counted_once(spark):
+    rng = np.random.default_rng(6)
+    data = [(int(u), f"i{i}", 5) for u in range(150) for i in range(9) if rng.random() < 0.75 - 0.07 * i] + [(None, "i0", 5), (None, "i1", 4)]
+    basket = B.baskets(spark.createDataFrame(data, "User_ID int, Movie_ID string, Rating int")).cache()
+    for support in (0.08, 0.3, 0.99):
+        ours, theirs = B.mine_itemsets(basket, support, 0.5), B.fit_itemsets(basket, support, 0.5)
+        assert rows(B.frequent_itemsets(ours)) == rows(B.frequent_itemsets(theirs))
+        near = lambda model: rows(B.rules(model).select("antecedent", "consequent", *(F.round(c, 9) for c in ("confidence", "lift", "support"))))
+        assert near(ours) == near(theirs)
+        assert rows(B.apply_rules(ours, basket)) == rows(B.apply_rules(theirs, basket))
+        assert ours.associationRules.inputFiles() or not ours.associationRules.count()
+    assert B.mine_itemsets(basket.limit(0)).freqItemsets.count() == 0
