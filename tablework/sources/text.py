@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from tablework.functions.expressions import parse_number
 
+SEGMENT = 1 << 16  # lines that meet in one window
+
 
 def parse_block_ratings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Ratings from files in which a line ``<item>:`` sets the item of the following lines
     ``<user>,<score>,<date>``.
 
-    A file may be cut into many splits and a block may run over several of them. Inside a split
-    the last header is carried forward in line order; lines before the first header of a split
-    take the last header of the splits before it. The only per-file window runs over one row per
-    split, so neither a huge file nor a huge block meets in one task.
+    A file may be cut into many splits and a block may run over several of them. Splits are cut into
+    segments of at most ``SEGMENT`` lines. Inside a segment
+    the last header is carried forward in line order; lines before the first header of a segment
+    take the last header of the segments before it. The only per-file window runs over one row per
+    segment, so neither a huge file nor a huge block nor a huge split meets in one task.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = (
@@ -28,21 +31,22 @@ def parse_block_ratings(spark: SparkSession, paths: str | Sequence[str]) -> Data
             F.col("_metadata.file_block_start").alias("start"),
         )
         .withColumn("pos", F.monotonically_increasing_id())
+        .withColumn("segment", F.floor(F.col("pos") / SEGMENT))
         .withColumn("header", F.regexp_extract(F.trim("value"), r"^(\d+):$", 1))
         .withColumn("header", F.when(F.col("header") != "", F.col("header")))
     )
-    split = Window.partitionBy("file", "start")
+    part = Window.partitionBy("file", "start", "segment")
     carried = lines.withColumn(
-        "here", F.last("header", ignorenulls=True).over(split.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+        "here", F.last("header", ignorenulls=True).over(part.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
     )
-    # One row per split: its last header, or none, and from these the header it starts with.
-    ends = lines.groupBy("file", "start").agg(F.max_by("header", F.when(F.col("header").isNotNull(), F.col("pos"))).alias("last"))
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ends.select("file", "start", F.last("last", ignorenulls=True).over(before).alias("carry"))
+    # One row per segment: its last header, or none, and from these the header it starts with.
+    ends = lines.groupBy("file", "start", "segment").agg(F.max_by("header", F.when(F.col("header").isNotNull(), F.col("pos"))).alias("last"))
+    before = Window.partitionBy("file").orderBy("start", "segment").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("file", "start", "segment", F.last("last", ignorenulls=True).over(before).alias("carry"))
     fields = F.split("value", ",")
     return (
         carried.where(F.col("header").isNull() & F.col("value").contains(","))
-        .join(starts, ["file", "start"], "left")
+        .join(starts, ["file", "start", "segment"], "left")
         .select(
             F.coalesce("here", "carry").alias("Movie_ID"),
             F.trim(F.get(fields, F.lit(0))).alias("User_ID"),

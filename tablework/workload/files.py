@@ -103,20 +103,23 @@ def s04(fx: Fixtures) -> DataFrame:
     return S.read_json(fx.spark, path, EVENTS)
 
 
+BLOCKS = 64  # of each item, so that a popular one is not written by one task
+
+
 def block_files(fx: Fixtures, label: str) -> list[str]:
-    """Four block-text files: a header line per item, then its ratings; each file holds several parts."""
+    """Four block-text files: a header line per block of an item, then its ratings; each file holds several parts."""
     data = fx.ratings().select(
-        F.regexp_extract("Movie_ID", r"(\d+)", 1).cast("int").alias("item"), "User_ID", "Rating", "Date"
+        F.regexp_extract("Movie_ID", r"(\d+)", 1).cast("int").alias("item"), "User_ID", "Rating", "Date", F.pmod(F.xxhash64("User_ID", "Date"), F.lit(BLOCKS)).alias("block")
     )
-    lines = data.select("item", F.lit(1).alias("kind"), F.concat_ws(",", "User_ID", "Rating", "Date").alias("value"))
-    heads = data.select("item").distinct().select("item", F.lit(0).alias("kind"), F.concat("item", F.lit(":")).alias("value"))
+    lines = data.select("item", "block", F.lit(1).alias("kind"), F.concat_ws(",", "User_ID", "Rating", "Date").alias("value"))
+    heads = data.select("item", "block").distinct().select("item", "block", F.lit(0).alias("kind"), F.concat("item", F.lit(":")).alias("value"))
     both = staged(lines.unionByName(heads), label, spread=True)
     paths = []
     for i in range(4):
         path = scratch_dir(fx.spark, f"{label}-{i}")
         part = both.where(F.col("item") % 4 == i)
-        # A header must stand before its lines, so an item stays in one part of the written file.
-        part.repartition("item").sortWithinPartitions("item", "kind").select("value").write.text(path)
+        # A header must stand before its lines, so a block stays in one part of the written file.
+        part.repartition("item", "block").sortWithinPartitions("item", "block", "kind").select("value").write.text(path)
         paths.append(path)
     return paths
 

@@ -23,6 +23,18 @@ def brute_blocks(texts):
     return sorted(out)
 
 
+def test_block_text_meets_in_segments(spark, tmp_path, monkeypatch):
+    """A split of any size is cut into segments of few lines; most of them hold no header."""
+    monkeypatch.setattr(TX, "SEGMENT", 7)
+    texts = ["\n".join(["1:", *(f"{u},3,2005-09-01" for u in range(100)), "2:", "5,1,2005-09-02", "3:", *(f"{u},4,2005-09-03" for u in range(30))]), "4:\n1,1,2005-01-01"]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.txt").write_text(text)
+    found = TX.parse_block_ratings(spark, [str(tmp_path / f"{i}.txt") for i in range(2)])
+    assert sorted(tuple(r) for r in found.collect()) == brute_blocks(texts)
+    windows = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
+    assert any("segment" in x.split("], [")[1] for x in windows)
+
+
 @pytest.mark.parametrize("split", [None, "64", "400"])
 def test_block_text_across_splits(spark, tmp_path, split):
     """Splits far smaller than a block: most of them hold no header at all."""
