@@ -131,7 +131,7 @@ def build_gold_features(
     facts = prefix_columns(readings, name)
     ts = f"{name}_datetime"
     out = join_shifted(facts, prefix_columns(gas, "gas_prices"), ts, "gas_prices_forecast_date", 1, "day")
-    out = join_shifted(out, prefix_columns(electricity, "electric_prices"), ts, "electric_prices_forecast_date", 1, grain)
+    electric = prefix_columns(electricity, "electric_prices")
     c = prefix_columns(client, "client")
     on = (
         (F.col(f"{name}_product_type") == F.col("client_product_type"))
@@ -139,7 +139,9 @@ def build_gold_features(
         & (F.col(f"{name}_is_business") == F.col("client_is_business"))
         & (F.to_date(ts) == F.col("client_date"))
     )
-    return out.join(c, on, "left")
+    # Prices by date multiply the rows, so that join comes last; the columns keep their order.
+    wide = join_shifted(out.join(c, on, "left"), electric, ts, "electric_prices_forecast_date", 1, grain)
+    return wide.select(*out.columns, *electric.columns, *c.columns)
 
 
 def dates_of(changes: Changes, ts: str, shift: int = 0) -> DataFrame:

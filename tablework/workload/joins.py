@@ -10,7 +10,7 @@ from tablework.operators import joins as J
 from tablework.operators import merge as M
 from tablework.operators.clean import prefix_columns
 from tablework.plans.medallion import build_gold_features
-from tablework.session import fresh_database
+from tablework.session import fresh_database, staged
 from tablework.sinks.tables import write_table
 from tablework.workload.fixtures import Fixtures
 from tablework.workload.registry import query
@@ -97,13 +97,19 @@ GOLD_SQL = """SELECT a.county AS train_county, a.is_business AS train_is_busines
 GOLD_VIEWS = ("readings", "gas_prices", "electricity_prices", "client")
 
 
+def gold_of(fx: Fixtures, grain: str) -> DataFrame:
+    """Prices and client states are stored, so that their size is measured and the readings need no shuffle to meet them."""
+    dims = (staged(df, "j05") for df in (fx.gas_prices(), fx.electricity_prices(), fx.client()))
+    return build_gold_features(fx.readings(), *dims, grain)
+
+
 @query(
     "j05_gold_features",
     GOLD_SQL.format(electricity="CAST(a.datetime AS DATE) = CAST(c.forecast_date AS DATE) + 1"),
     GOLD_VIEWS,
 )
 def j05(fx: Fixtures) -> DataFrame:
-    return build_gold_features(fx.readings(), fx.gas_prices(), fx.electricity_prices(), fx.client(), "day")
+    return gold_of(fx, "day")
 
 
 @query(
@@ -112,7 +118,7 @@ def j05(fx: Fixtures) -> DataFrame:
     GOLD_VIEWS,
 )
 def j05_hourly(fx: Fixtures) -> DataFrame:
-    return build_gold_features(fx.readings(), fx.gas_prices(), fx.electricity_prices(), fx.client(), "hour")
+    return gold_of(fx, "hour")
 
 
 @query(

@@ -110,3 +110,17 @@ def test_gold_properties_chain_fills_and_flags(spark):
     df = spark.createDataFrame([(1, None, None, 3, 1.0), (2, 100.0, 7, None, 2.0)], "parcelid int, lotsizesquarefeet double, unitcnt int, roomcnt int, taxvaluedollarcnt double")
     out = P.gold_properties(df, df.columns, F.lit("2024-01-01").cast("date"))
     assert rows(out, "parcelid", "lotsizesquarefeet", "lotexists", "unitcnt", "unitcntcat", "roomcntcat") == [(1, 0.0, 0, 0, 0, "small")]
+
+
+def test_prices_by_date_are_joined_last(spark):
+    """They multiply the rows, so nothing else has to be done to the many."""
+    at, ts, day = "timestamp'2024-01-03 05:00:00'", "timestamp_ntz'2024-01-02 {}:00:00'", "date'2024-01-{}'"
+    readings = spark.sql(f"SELECT 1 county, 0 is_business, 2 product_type, {at} datetime UNION ALL SELECT 9, 0, 2, NULL")
+    gas = spark.sql(f"SELECT {day.format('02')} forecast_date, 1.5 low")
+    electricity = spark.sql(" UNION ALL ".join(f"SELECT {ts.format(h)} forecast_date, {h} euros" for h in ("01", "02", "03")))
+    client = spark.sql(f"SELECT 2 product_type, 1 county, 0 is_business, {day.format('03')} date, 7 n")
+    out = ME.build_gold_features(readings, gas, electricity, client)
+    assert out.columns[4:8] == ["gas_prices_forecast_date", "gas_prices_low", "electric_prices_forecast_date", "electric_prices_euros"] and out.columns[-1] == "client_n"
+    assert rows(out, "train_county", "gas_prices_low", "electric_prices_euros", "client_n") == rows(spark.sql("SELECT * FROM VALUES (9, NULL, NULL, NULL), (1, 1.5, 1, 7), (1, 1.5, 2, 7), (1, 1.5, 3, 7)"))
+    joins = [x for x in out._jdf.queryExecution().analyzed().toString().splitlines() if "Join LeftOuter" in x]
+    assert "client_" in joins[1] and "client_" not in joins[0]
