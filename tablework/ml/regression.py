@@ -219,8 +219,17 @@ def penalised_path(
     return df.sparkSession.createDataFrame([(x, float(e)) for x, e in zip(falling, errors.mean(0))], "lambda double, mse double")
 
 
+TREE_ROWS = 1 << 20  # of one task
+
+
+def in_parts(data: DataFrame) -> DataFrame:
+    """Deal the rows over more tasks if these would hold more than ``TREE_ROWS`` each: tree fits keep each task's rows as objects."""
+    parts = -(-data.count() // TREE_ROWS)
+    return data.repartition(parts) if parts > data.rdd.getNumPartitions() else data
+
+
 def tree(df: DataFrame, label: str, features: Sequence[str], depth: int = 5) -> DecisionTreeRegressionModel:
-    data = assemble(df.select(label, *features), label, features)
+    data = in_parts(assemble(df.select(label, *features), label, features))
     return DecisionTreeRegressor(labelCol=label, maxDepth=depth, maxBins=64).fit(data)
 
 

@@ -243,3 +243,11 @@ def test_curve_areas_equal_the_evaluator(spark, kind):
 
 def test_metrics_of_an_empty_table(spark):
     assert tuple(ME.binary_metrics(spark.createDataFrame([], "label double, score double")).first()) == (0.0, 0.0, 0.0)
+
+
+def test_tree_rows_are_dealt_over_tasks_of_bounded_size(spark, monkeypatch):
+    frame = spark.range(100).repartition(2)
+    assert RG.in_parts(frame) is frame
+    monkeypatch.setattr(RG, "TREE_ROWS", 9)
+    dealt = RG.in_parts(frame)
+    assert dealt.rdd.getNumPartitions() == 12 and sorted(r.id for r in dealt.collect()) == list(range(100))
