@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,14 +109,101 @@ def held_out_error(model: ALSModel, test: DataFrame) -> DataFrame:
 def als_sweep(
     train: DataFrame, test: DataFrame, ranks: Sequence[int] = (10, 20, 50, 100, 200), iterations: int = 15, seed: int = 42
 ) -> DataFrame:
-    """Held-out error per rank. Train and test are read once per fit, so pass stored tables."""
-    out = None
+    """Held-out error per rank. Train and test are read once per fit, so pass stored tables.
+
+    Ranks above the number of items are fitted by :func:`few_items_error`.
+    """
+    out, by_user = None, None
+    items = sorted(r.item for r in train.select("item").distinct().limit(max(ranks)).collect())  # all of them, if fewer than a rank
     for rank in ranks:
-        row = held_out_error(als(train, rank, iterations, seed=seed), test).select(F.lit(rank).alias("rank"), "*")
+        if 0 < len(items) < rank:
+            by_user = by_user or ratings_by_user(train, test)
+            row = few_items_error(by_user, items, rank, iterations, seed=seed)
+            row = row.withColumn("n_test", test.agg(F.count(F.lit(1)).alias("n")).scalar()).withColumn("coverage", F.try_divide(F.col("n_scored"), F.col("n_test")))
+        else:
+            row = held_out_error(als(train, rank, iterations, seed=seed), test)
+        row = row.select(F.lit(rank).alias("rank"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 
 
+def ratings_by_user(train: DataFrame, test: DataFrame) -> DataFrame:
+    """A stored row per user with the count, sum and sum of squares of the ratings of each item, held out or not."""
+    both = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
+    score = F.col("rating").cast("double")
+    cells = both.groupBy("user", "item", "held").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(score).alias("s"), F.sum(score * score).alias("q"))
+    return staged(cells.groupBy("user").agg(F.collect_list(F.struct("item", "held", "n", "s", "q")).alias("cells")), "by-user", spread=True)
+
+
+def few_items_error(by_user: DataFrame, items: Sequence[int], rank: int, iterations: int = 15, reg: float = 0.01, seed: int = 42) -> DataFrame:
+    """One row: mean squared error and number of scored pairs of a fit whose rank exceeds the number of items.
+
+    The steps are those of :func:`als`: users start at random unit vectors of ``rank`` numbers, then items and users are
+    solved in turn. A user's solution is a combination of item vectors, so after the first step all vectors lie in the span
+    of the items. They are written in coordinates of that span, as many as there are items, which changes no product
+    of two vectors and no length. Each step is one pass over the users, whose sums per item are added up by item.
+    """
+    known, m = np.array(items), len(items)
+
+    def passes(y: np.ndarray | None, score: bool):
+        d = rank if y is None else y.shape[1]
+
+        def chunks(batches):
+            for batch in batches:
+                for a in range(0, batch.num_rows, size := max(1, (1 << 21) // (d * d))):
+                    part = batch.slice(a, size)
+                    lists = part.column(1)
+                    flat, row = lists.flatten(), np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
+                    item, held, n, s, q = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("item", "held", "n", "s", "q"))
+                    at = np.minimum(np.searchsorted(known, item), m - 1)
+                    told = ~held
+                    count, total = np.zeros((part.num_rows, m)), np.zeros((part.num_rows, m))
+                    count[row[told], at[told]], total[row[told], at[told]] = n[told], s[told]
+                    if y is None:
+                        first = part.column(0)[0].as_py()
+                        x = np.random.default_rng([seed, first & 0xFFFFFFFF]).standard_normal((part.num_rows, d))
+                        x /= np.linalg.norm(x, axis=1, keepdims=True)
+                    else:
+                        seen = count.sum(1)
+                        gram = (count @ (y[:, :, None] * y[:, None, :]).reshape(m, -1)).reshape(-1, d, d)
+                        gram += np.where(seen > 0, reg * seen, 1.0)[:, None, None] * np.eye(d)
+                        x = np.linalg.solve(gram, (total @ y)[:, :, None])[:, :, 0]
+                    asked = held & (known[at] == item) & (count.sum(1)[row] > 0)
+                    yield x, count, total, [v[asked] for v in (row, at, n, s, q)]
+
+        def sums(batches):
+            a, b, n = np.zeros((m, d * d)), np.zeros((m, d)), np.zeros(m)
+            for x, count, total, _ in chunks(batches):
+                a += count.T @ (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+                b += total.T @ x
+                n += count.sum(0)
+            whole = np.hstack([n[:, None], b, a])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(m)), pa.array(list(whole), pa.list_(pa.float64()))], ["k", "sums"])
+
+        def errors(batches):
+            for x, _, _, (row, at, n, s, q) in chunks(batches):
+                p = np.einsum("ij,ij->i", x[row], y[at])
+                yield pa.RecordBatch.from_arrays([pa.array([float((q - 2 * p * s + n * p * p).sum())]), pa.array([int(n.sum())])], ["e", "n"])
+
+        def solved(table):
+            whole = np.sum(table.column("sums").to_pylist(), axis=0)
+            n, b, a = whole[0], whole[1 : d + 1], whole[d + 1 :].reshape(d, d)
+            factor = np.linalg.solve(a + reg * n * np.eye(d), b)
+            return pa.table({"k": table.column("k")[:1], "factor": pa.array([factor], pa.list_(pa.float64()))})
+
+        if score:
+            return by_user.mapInArrow(errors, "e double, n long")
+        return by_user.mapInArrow(sums, "k long, sums array<double>").groupBy("k").applyInArrow(solved, "k long, factor array<double>")
+
+    y = None
+    for _ in range(iterations):
+        y = np.array([r.factor for r in passes(y, False).orderBy("k").collect()])  # a vector per item
+        values, vectors = np.linalg.eigh(y @ y.T)
+        kept = values > max(values.max(), 0.0) * 1e-14
+        y = (vectors * np.sqrt(np.maximum(values, 0.0)))[:, kept] if kept.any() else np.zeros((m, 1))
+    return passes(y, True).agg(F.try_divide(F.sum("e"), F.sum("n")).alias("mse"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_scored"))
+
+
 def scored_pairs(model: ALSModel, test: DataFrame) -> DataFrame:
     """Actual and predicted scores side by side, by (user, item)."""
     predictions = model.transform(test.select("user", "item").distinct())

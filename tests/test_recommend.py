@@ -80,3 +80,20 @@ def test_mined_itemsets_equal_those_of_fp_growth_and_are_counted_once(spark):
         assert rows(B.apply_rules(ours, basket)) == rows(B.apply_rules(theirs, basket))
         assert ours.associationRules.inputFiles() or not ours.associationRules.count()
     assert B.mine_itemsets(basket.limit(0)).freqItemsets.count() == 0
+
+
+def test_ranks_above_the_number_of_items_are_fitted_in_the_span_of_the_items(spark):
+    rng = np.random.default_rng(8)
+    u, v = rng.random((120, 2)) + 0.5, rng.random((5, 2)) + 0.5
+    cells = [(a, b, float(u[a] @ v[b])) for a in range(120) for b in range(5)] + [(0, 0, 1.0)]
+    train = spark.createDataFrame([c for i, c in enumerate(cells) if i % 7], "user int, item int, rating float")
+    test = spark.createDataFrame([c for i, c in enumerate(cells) if i % 7 == 0] + [(999, 1, 3.0), (3, 77, 2.0)], "user int, item int, rating float")
+    found = R.als_sweep(train, test, ranks=(2, 12), iterations=15).orderBy("rank").collect()
+    plain = R.held_out_error(R.als(train, 12, 15), test).first()
+    few = found[1]
+    assert (few.n_scored, few.n_test, few.coverage) == (plain.n_scored, plain.n_test, plain.coverage) and found[0].n_test == few.n_test
+    assert abs(few.mse - plain.mse) < 0.3 * plain.mse + 0.002
+    own = R.few_items_error(R.ratings_by_user(train, train), range(5), 12).first().mse
+    theirs = R.held_out_error(R.als(train, 12, 15), train).first().mse
+    assert abs(own - theirs) < 0.2 * theirs + 1e-4 and own < 0.01
+    assert R.als_sweep(train, test.limit(0), ranks=(12,), iterations=2).first().mse is None
