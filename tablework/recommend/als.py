@@ -128,8 +128,12 @@ def als_sweep(
 
 
 def ratings_by_user(train: DataFrame, test: DataFrame) -> DataFrame:
-    """A stored row per user with the count, sum and sum of squares of the ratings of each item, held out or not."""
-    both = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
+    """A stored row per user with the count, sum and sum of squares of the ratings of each item, held out or not.
+
+    A rating to train on that is null or no number stops the job, as it stops :func:`als`.
+    """
+    checked = F.when(F.col("rating").isNull() | F.isnan("rating"), F.raise_error(F.lit("Ratings MUST NOT be Null or NaN")).cast("float")).otherwise(F.col("rating"))
+    both = train.withColumn("rating", checked).withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
     score = F.col("rating").cast("double")
     cells = both.groupBy("user", "item", "held").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(score).alias("s"), F.sum(score * score).alias("q"))
     return staged(cells.groupBy("user").agg(F.collect_list(F.struct("item", "held", "n", "s", "q")).alias("cells")), "by-user", spread=True)

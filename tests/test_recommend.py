@@ -97,3 +97,5 @@ def test_ranks_above_the_number_of_items_are_fitted_in_the_span_of_the_items(spa
     theirs = R.held_out_error(R.als(train, 12, 15), train).first().mse
     assert abs(own - theirs) < 0.2 * theirs + 1e-4 and own < 0.01
     assert R.als_sweep(train, test.limit(0), ranks=(12,), iterations=2).first().mse is None
+    with pytest.raises(Exception, match="Null or NaN"):
+        R.als_sweep(train.unionByName(train.limit(1).withColumn("rating", F.lit(None).cast("float"))), test, ranks=(12,), iterations=1)
