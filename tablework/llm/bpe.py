@@ -35,7 +35,7 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, IN_WHITE, ONE_LEFT, TWO_L
 STARTS = 8  # added to the symbol of a text's first code point
 
 GROUP_CHARS = 1 << 18
-CACHE_SLICES = 400_000
+CACHE_SLICES = 1 << 17  # about 200 octets each
 BLOCK = 256
 
 
@@ -161,7 +161,7 @@ def slices(texts: list[str]) -> tuple[list[bytes], list[int]]:
 
 
 class Vocabulary:
-    """Ranks of a byte-level vocabulary with a bounded cache of merged slices."""
+    """Ranks of a byte-level vocabulary with a bounded cache of merged slices, empty again after a ``with`` block."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -182,6 +182,12 @@ class Vocabulary:
         self.merged = np.array([pairs[k] for k in sorted(pairs)], np.int64)
         self.cache: dict[bytes, bytes] = {}
 
+    def __enter__(self) -> Vocabulary:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.cache = {}
+
     NONE = 1 << 40
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -284,7 +290,7 @@ class Vocabulary:
 
 @functools.cache
 def vocabulary(path: str) -> Vocabulary:
-    """One per worker, kept between its tasks."""
+    """One per worker, kept between its tasks; these empty its cache, since the worker waits or does other work afterwards."""
     return Vocabulary(path)
 
 
@@ -299,14 +305,14 @@ def encode_documents(docs: DataFrame, path: str, offsets: bool = True, id_col: s
     """
 
     def run(batches):
-        vocab = vocabulary(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in groups_of([len(t) for t in texts], GROUP_CHARS):
-                ids = vocab.encode(texts[a:b])
-                at = [np.concatenate([[0], np.cumsum(vocab.lengths(i))]).astype("<i8").tobytes() if offsets else None for i in ids]
-                columns = [batch.column(0).slice(a, b - a), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(at, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "offsets"])
+        with vocabulary(path) as vocab:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for a, b in groups_of([len(t) for t in texts], GROUP_CHARS):
+                    ids = vocab.encode(texts[a:b])
+                    at = [np.concatenate([[0], np.cumsum(vocab.lengths(i))]).astype("<i8").tobytes() if offsets else None for i in ids]
+                    columns = [batch.column(0).slice(a, b - a), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(at, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "offsets"])
 
     return map_batches(id_and_text(docs, id_col, text_col), run, SCHEMA)
 
@@ -327,19 +333,19 @@ def round_trip(docs: DataFrame, path: str, keep_ids: bool = False, id_col: str =
     """Encode, decode and digest in one pass over the rows: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids)."""
 
     def run(batches):
-        vocab = vocabulary(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in groups_of([len(t) for t in texts], GROUP_CHARS):
-                ids = vocab.encode(texts[a:b])
-                columns = [
-                    batch.column(0).slice(a, b - a),
-                    pa.array([len(i) // 4 for i in ids], pa.int64()),
-                    pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
-                    pa.array([hashlib.sha256(vocab.decode(i)).hexdigest() for i in ids]),
-                    *([pa.array(ids, pa.binary())] if keep_ids else []),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])
+        with vocabulary(path) as vocab:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for a, b in groups_of([len(t) for t in texts], GROUP_CHARS):
+                    ids = vocab.encode(texts[a:b])
+                    columns = [
+                        batch.column(0).slice(a, b - a),
+                        pa.array([len(i) // 4 for i in ids], pa.int64()),
+                        pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
+                        pa.array([hashlib.sha256(vocab.decode(i)).hexdigest() for i in ids]),
+                        *([pa.array(ids, pa.binary())] if keep_ids else []),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
     return map_batches(id_and_text(docs, id_col, text_col), run, schema)

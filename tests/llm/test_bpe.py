@@ -60,3 +60,16 @@ def test_frame(spark, docs_of, library):
     assert all(trip[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest() for i, t in texts)
     assert all(trip[i].ids_sha256 == hashlib.sha256(found[i].ids).hexdigest() for i, _ in texts)
     assert bpe.round_trip(docs.limit(0), PATH).count() == 0
+
+
+def test_tasks_leave_no_merged_slices_in_their_workers(spark, docs_of):
+    docs = docs_of([(i, f"slice{i} alone") for i in range(500)])
+
+    def held(batches):
+        for batch in batches:
+            yield batch.from_arrays([[len(bpe.vocabulary(PATH).cache)] * batch.num_rows], ["n"])
+
+    for encode in (bpe.round_trip, bpe.encode_documents):
+        assert encode(docs, PATH).count() == 500
+        encode(docs, PATH).collect()
+        assert {r.n for r in docs.select("doc_id").mapInArrow(held, "n long").collect()} == {0}
