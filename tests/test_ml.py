@@ -251,3 +251,22 @@ def test_tree_rows_are_dealt_over_tasks_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(RG, "TREE_ROWS", 9)
     dealt = RG.in_parts(frame)
     assert dealt.rdd.getNumPartitions() == 12 and sorted(r.id for r in dealt.collect()) == list(range(100))
+
+
+def test_least_squares_rows_are_not_dealt_out_first(spark, tmp_path, monkeypatch):
+    """Dealing out sorts and moves every row once more, for a fit that reads them once."""
+    from tablework.workload import models
+    from tablework.workload.fixtures import Fixtures
+
+    spark.sql("SELECT id AS o_orderkey, timestamp'2024-01-01' AS o_orderdate FROM range(200)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(
+        """SELECT id AS l_orderkey, n AS l_linenumber, 'N' AS l_returnflag, timestamp'2024-01-01' + make_dt_interval(CAST(3 * (id % 11) + n AS INT)) AS l_shipdate,
+          CAST(id % 11 AS DOUBLE) AS l_quantity, CAST(id % 7 AS DOUBLE) AS l_extendedprice, CAST(id % 5 AS DOUBLE) AS l_tax, CAST(id % 3 AS DOUBLE) AS l_discount
+          FROM range(200), (SELECT explode(sequence(1, 3)) AS n)"""
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    asked = []
+    keep = models.staged
+    monkeypatch.setattr(models, "staged", lambda df, label, **more: asked.append(more) or keep(df, label, **more))
+    found = {r.term: r.coefficient for r in models.m06_causes(Fixtures(spark, str(tmp_path))).collect()}
+    assert asked == [{}]
+    assert len(found) == 12 and 2.5 < found["AirTime"] <= 3 and found["(r2)"] > 0.9
