@@ -93,9 +93,10 @@ def load_silver(spark: SparkSession, db: str, table: str, keys: Sequence[str] |
     if not changes.any() and spark.catalog.tableExists(name):
         return spark.table(name).count()
     fresh = changes.rows()
+    fresh = fresh.drop(*(c for c in AUDIT_COLUMNS if c != "process_timestamp"))  # else each shuffle carries the long paths
     silver = possible_matches(spark, db, table, fresh, keys, changes)
-    unseen = fresh if silver is None else new_rows(fresh, silver, keys)
-    newest = staged(latest_version(staged(unseen, "unseen"), keys, "process_timestamp"), "newest")
+    unseen = fresh if silver is None else staged(new_rows(fresh, silver, keys), "unseen")  # bronze itself is stored
+    newest = staged(latest_version(unseen, keys, "process_timestamp"), "newest")
     if changes.blocks is not None:
         if spark.catalog.tableExists(held_name):
             held = spark.table(held_name).groupBy(*keys).agg(F.max("process_timestamp").alias("_held"))

@@ -124,3 +124,16 @@ def test_prices_by_date_are_joined_last(spark):
     assert rows(out, "train_county", "gas_prices_low", "electric_prices_euros", "client_n") == rows(spark.sql("SELECT * FROM VALUES (9, NULL, NULL, NULL), (1, 1.5, 1, 7), (1, 1.5, 2, 7), (1, 1.5, 3, 7)"))
     joins = [x for x in out._jdf.queryExecution().analyzed().toString().splitlines() if "Join LeftOuter" in x]
     assert "client_" in joins[1] and "client_" not in joins[0]
+
+
+def test_first_silver_load_copies_no_bronze_and_carries_no_paths(spark, db, monkeypatch):
+    stored = []
+    keep = ME.staged
+    monkeypatch.setattr(ME, "staged", lambda df, label, **more: stored.append((label, df.columns)) or keep(df, label, **more))
+    write_table(bronze(spark, [(1, 1.0, 0, 1), (1, 2.0, 0, 2), (2, None, 0, 1)]), f"{db}.bronze_train", "overwrite", ["data_block_id"])
+    assert ME.load_silver(spark, db, "train") == 1
+    write_table(bronze(spark, [(1, 9.0, 2, 3), (2, 4.0, 2, 3)]), f"{db}.bronze_train", "append", ["data_block_id"])
+    assert ME.load_silver(spark, db, "train") == 2
+    assert [label for label, _ in stored] == ["newest", "incomplete", "unseen", "newest", "incomplete"]
+    assert not any("file_name" in columns for _, columns in stored)
+    assert rows(spark.table(f"{db}.silver_train"), "row_id", "target") == [(1, 2.0), (2, 4.0)]
